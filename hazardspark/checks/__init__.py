@@ -1,6 +1,6 @@
 """All checked queries."""
 
-from hazardspark.checks import text_checks  # noqa: F401
+from hazardspark.checks import extract_checks, filter_checks, join_checks, text_checks  # noqa: F401
 from hazardspark.checks.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

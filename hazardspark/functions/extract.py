@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.functions import text as T
 from hazardspark.schemas import VICTIMS
 
-# Stems without which no body pattern can match: most texts stop here.
-_BODY_STEMS = "mort|falecid|morreram|ferid|evacuad|desalojad|deslocad|desaparecid"
-
-
 def _struct(counts: dict[str, Column]) -> Column:
     return F.struct(*[counts[v].cast("int").alias(v) for v in VICTIMS])
 
@@ -28,30 +24,40 @@ def any_victim(counts: Column) -> Column:
     return test
 
 
-def victims_from_words(prepared: Column) -> Column:
-    """First count per label; ``prepared`` is normalised text with digits for words.
+def victims_in(norm: Column, words: dict[str, int] | None = None) -> Column:
+    """First count per label in normalised text; counts of 1000 and above read as 0.
 
-    Counts of 1000 and above read as 0.
+    A number is digits or a spelled-out number word. Matching the word in
+    front of the noun gives what replacing all words by digits first would
+    give, without rewriting the text; a label's pattern runs only on texts
+    that hold one of its stems.
     """
+    words = words or vocab.NUMBER_WORDS
+    values = F.create_map(*[F.lit(x) for w, n in words.items() for x in (w, str(n))])
+    number = rf"(\d+|\b(?:{'|'.join(words)}))"
+    limit = vocab.BODY_VICTIM_LIMIT
     counts = {}
     for label, pattern in vocab.BODY_VICTIM_PATTERNS.items():
-        number = F.nullif(F.regexp_extract(prepared, pattern, 1), F.lit("")).try_cast("bigint")
-        counts[label] = F.when(number < vocab.BODY_VICTIM_LIMIT, number).otherwise(0)
-    return F.when(F.rlike(prepared, F.lit(_BODY_STEMS)), _struct(counts)).otherwise(no_victims())
-
-
-def prepare_text(col: Column) -> Column:
-    """Normalised text with number words as digits.
-
-    Texts without a victim stem keep their words; no pattern could use them.
-    """
-    norm = T.normalize(col)
-    return F.when(F.rlike(norm, F.lit(_BODY_STEMS)), T.words_to_numbers(norm)).otherwise(norm)
+        found = F.regexp_extract(norm, pattern.replace(r"(\d+)", number, 1), 1)
+        count = T.once(
+            found, lambda s: T.once(
+                F.coalesce(F.element_at(values, s), s).try_cast("bigint"),
+                lambda n: F.when(n < limit, n).otherwise(0),
+            ),
+        )
+        counts[label] = F.when(T.contains_any(norm, vocab.BODY_STEMS[label]), count).otherwise(0)
+    return _struct(counts)
 
 
 def victim_counts(col: Column) -> Column:
     """Victim struct of any text."""
-    return victims_from_words(prepare_text(col))
+    return T.once(T.normalize(col), lambda norm: victims_in(norm))
+
+
+def with_victim_counts(df: DataFrame, norm: str) -> DataFrame:
+    """The five counts as columns, from a column of normalised text."""
+    v = victims_in(F.col(norm))
+    return T.computed_once(df, _v=v).select("*", "_v.*").drop("_v")
 
 
 def _all_numbers(text: Column, pattern: str) -> Column:
@@ -66,7 +72,12 @@ def title_victims(title: Column, number_words: bool = False) -> Column:
 
     Spelled-out numbers count only with ``number_words=True``.
     """
-    lowered = F.lower(F.coalesce(title, F.lit("")))
+    return T.once(
+        F.lower(F.coalesce(title, F.lit(""))), lambda low: _title_counts(low, number_words)
+    )
+
+
+def _title_counts(lowered: Column, number_words: bool) -> Column:
     words = F.create_map(*[F.lit(x) for kv in vocab.TITLE_NUMBER_WORDS.items() for x in kv])
     names = "|".join(vocab.TITLE_NUMBER_WORDS)
     counts = {}
@@ -81,19 +92,21 @@ def title_victims(title: Column, number_words: bool = False) -> Column:
                     lambda w: F.element_at(words, w).cast("bigint"),
                 )
             )
-        largest = F.array_max(F.concat(*found))
-        counts[label] = F.least(F.coalesce(largest, F.lit(0)), F.lit(2147483647))
-    if number_words:
-        return _struct(counts)
-    return F.when(F.rlike(lowered, F.lit(r"\d")), _struct(counts)).otherwise(no_victims())
+        largest = F.least(F.coalesce(F.array_max(F.concat(*found)), F.lit(0)), F.lit(2147483647))
+        hinted = T.contains_any(lowered, vocab.TITLE_STEMS[label])
+        counts[label] = F.when(hinted, largest).otherwise(0)
+    return _struct(counts)
 
 
 def first_with_victims(*candidates: Column) -> Column:
-    """First struct with any count above 0, else the last one."""
-    out = candidates[-1]
-    for candidate in reversed(candidates[:-1]):
-        out = F.when(any_victim(candidate), candidate).otherwise(out)
-    return out
+    """First struct with any count above 0, else the last one.
+
+    A later candidate is evaluated only where all before it are empty.
+    """
+    if len(candidates) == 1:
+        return candidates[0]
+    rest = first_with_victims(*candidates[1:])
+    return T.once(candidates[0], lambda v: F.when(any_victim(v), v).otherwise(rest))
 
 
 def victims_title_url_body(title: Column, body: Column, url: Column) -> Column:
@@ -105,13 +118,15 @@ def victims_title_url_body(title: Column, body: Column, url: Column) -> Column:
 
 def victims_title_body(title: Column, body: Column, number_words: bool = False) -> Column:
     """Title counts, else body counts."""
-    from_title = title_victims(title, number_words)
-    return first_with_victims(from_title, victim_counts(body), from_title)
+    return first_with_victims(title_victims(title, number_words), victim_counts(body))
 
 
 def hazard_type(norm: Column, hazards: dict | None = None) -> Column:
     """struct(type, subtype) of normalised text; the first type with a term decides."""
-    hazards = hazards or vocab.HAZARDS
+    return T.once(norm, lambda text: _hazard(text, hazards or vocab.HAZARDS))
+
+
+def _hazard(norm: Column, hazards: dict) -> Column:
     kind, sub = F.lit("Other"), F.lit("Other")
     for name, spec in reversed(hazards.items()):
         term = T.first_contained(norm, spec["terms"])
@@ -148,14 +163,40 @@ def mentions_hazard(col: Column, keywords: list[str], strict: bool = False) -> C
     return T.contains_any(T.normalize(col), folded)
 
 
+def _low(col: Column, lowered: bool) -> Column:
+    return col if lowered else F.lower(F.coalesce(col, F.lit("")))
+
+
+def relevance_score(text: Column, categories: dict | None = None) -> Column:
+    """Weighted number of keywords contained in a lower-cased text."""
+    def total(s: Column) -> Column:
+        out = F.lit(0)
+        for weight, words in (categories or vocab.RELEVANCE).values():
+            for word in words:
+                out = out + F.when(F.contains(s, F.lit(word)), weight).otherwise(0)
+        return out
+
+    return T.once(text, total)
+
+
+def relevance_categories(text: Column, categories: dict | None = None) -> Column:
+    """Names of the categories with a keyword in a lower-cased text."""
+    hits = [
+        F.when(T.contains_any(text, words), F.lit(name))
+        for name, (_, words) in (categories or vocab.RELEVANCE).items()
+    ]
+    return F.array_compact(F.array(*hits))
+
+
 def relevance(url: Column, title: Column, categories: dict | None = None) -> Column:
-    """struct(score, categories): weighted keyword hits over url and title."""
-    text = F.concat(F.lower(F.coalesce(url, F.lit(""))), F.lit(" "), F.lower(F.coalesce(title, F.lit(""))))
-    score, hits = F.lit(0), []
-    for name, (weight, words) in (categories or vocab.RELEVANCE).items():
-        score = score + T.count_contained(text, words) * F.lit(weight)
-        hits.append(F.when(T.contains_any(text, words), F.lit(name)))
-    return F.struct(score.alias("score"), F.array_compact(F.array(*hits)).alias("categories"))
+    """struct(score, categories) over url and title."""
+    return T.once(
+        F.concat(_low(url, False), F.lit(" "), _low(title, False)),
+        lambda text: F.struct(
+            relevance_score(text, categories).alias("score"),
+            relevance_categories(text, categories).alias("categories"),
+        ),
+    )
 
 
 def keyword_score(url: Column, words: list[str]) -> Column:
@@ -171,7 +212,10 @@ def keyword_gate(
     """struct(passes, matches): positive terms unless blocked by context, vetoed by negatives."""
     positive = vocab.GATE_POSITIVE if positive is None else positive
     negative = vocab.GATE_NEGATIVE if negative is None else negative
-    text = F.lower(F.coalesce(col, F.lit("")))
+    return T.once(F.lower(F.coalesce(col, F.lit(""))), lambda text: _gate(text, positive, negative))
+
+
+def _gate(text: Column, positive, negative) -> Column:
     found = []
     for keyword, context, weight in positive:
         hit = F.contains(text, F.lit(keyword))
@@ -191,11 +235,15 @@ def keyword_gate_passes(
     col: Column,
     positive: list[tuple[str, list[str], int]] | None = None,
     negative: list[str] | None = None,
+    lowered: bool = False,
 ) -> Column:
     """Only the pass flag of :func:`keyword_gate`, without building the matches."""
     positive = vocab.GATE_POSITIVE if positive is None else positive
     negative = vocab.GATE_NEGATIVE if negative is None else negative
-    text = F.lower(F.coalesce(col, F.lit("")))
+    return T.once(_low(col, lowered), lambda text: _gate_passes(text, positive, negative))
+
+
+def _gate_passes(text: Column, positive, negative) -> Column:
     hit = F.lit(False)
     for keyword, context, _ in positive:
         one = F.contains(text, F.lit(keyword))

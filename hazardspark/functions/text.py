@@ -7,7 +7,7 @@ import re
 import sys
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardspark import vocab
@@ -44,22 +44,24 @@ def fold_ascii(col: Column) -> Column:
     """NFKD to ASCII of lower-cased text.
 
     Pure ASCII rows skip the table; characters that expand to several
-    letters are looked up only when a row holds one.
+    letters are looked up only when a row holds one. A row is tested for them
+    by deletion with translate (a hash lookup per character), because a regex
+    class of hundreds of members is checked member by member.
     """
     src, dst, many = _folding()
-    char_class = "[" + "".join(many) + "]"
-    table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    chars = "".join(many)
+    # One literal instead of hundreds keeps plans small.
+    table = F.str_to_map(
+        F.lit("\x01".join(f"{k}\x02{v}" for k, v in many.items())), F.lit("\x01"), F.lit("\x02")
+    )
     expanded = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(col, F.lit(f"({char_class})"), F.lit(1))),
+        F.array_distinct(F.regexp_extract_all(col, F.lit(f"([{chars}])"), F.lit(1))),
         col,
         lambda acc, ch: F.replace(acc, ch, F.element_at(table, ch)),
     )
-    single = lambda c: F.regexp_replace(F.translate(c, src, dst), r"[^\x00-\x7F]", "")
-    return (
-        F.when(_is_ascii(col), col)
-        .when(~F.rlike(col, F.lit(char_class)), single(col))
-        .otherwise(single(expanded))
-    )
+    single = lambda c: F.regexp_replace(F.translate(c, src, dst), r"[^\x00-\x7F]+", "")
+    plain = F.char_length(F.translate(col, chars, "")) == F.char_length(col)
+    return F.when(_is_ascii(col), col).when(plain, single(col)).otherwise(single(expanded))
 
 
 def normalize(col: Column) -> Column:
@@ -222,25 +224,57 @@ def clean_token(col: Column) -> Column:
     return F.when(col.isNull() | col.isin("nan", "None"), "").otherwise(col)
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once.
+
+    A one-element array binds the value to a lambda. Long term lists go
+    through it as well: unrolled into generated code they pass the size up to
+    which the JVM compiles a method, and would then run interpreted.
+    """
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def _any_of(col: Column, terms: list[str]) -> Column:
+    out = F.contains(col, F.lit(terms[0]))
+    for term in terms[1:]:
+        out = out | F.contains(col, F.lit(term))
+    return out
+
+
 def contains_any(col: Column, terms: list[str]) -> Column:
-    """Any of the terms is a substring."""
-    if len(terms) == 1:
-        return F.contains(col, F.lit(terms[0]))
-    return F.rlike(col, F.lit("|".join(re.escape(t) for t in terms)))
+    """Any of the terms is a substring; byte searches that stop at the first hit."""
+    if len(terms) <= 3:
+        return _any_of(col, terms)
+    return F.exists(F.array(col), lambda s: _any_of(s, terms))
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters must not re-evaluate.
+
+    Catalyst pushes a filter through a projection by copying the projected
+    expressions into it. Columns that come out of a generator are values, so
+    every later predicate reads them instead of computing them again.
+    """
+    values = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
 
 
 def first_contained(col: Column, terms: list[str], word: bool = False) -> Column:
     """First listed term that occurs, else null; ``word`` asks for word boundaries."""
-    def hit(term: str) -> Column:
+    def hit(s: Column, term: str) -> Column:
         if word:
-            return F.rlike(col, F.lit(rf"(?U)\b{re.escape(term)}\b"))
-        return F.contains(col, F.lit(term))
+            return F.rlike(s, F.lit(rf"(?U)\b{re.escape(term)}\b"))
+        return F.contains(s, F.lit(term))
 
-    return F.coalesce(*[F.when(hit(t), F.lit(t)) for t in terms])
+    return once(col, lambda s: F.coalesce(*[F.when(hit(s, t), F.lit(t)) for t in terms]))
 
 
 def count_contained(col: Column, terms: list[str]) -> Column:
     """How many of the terms occur."""
+    return once(col, lambda s: _count_of(s, terms))
+
+
+def _count_of(col: Column, terms: list[str]) -> Column:
     total = F.lit(0)
     for term in terms:
         total = total + F.contains(col, F.lit(term)).cast("int")

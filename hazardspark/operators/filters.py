@@ -32,8 +32,13 @@ def with_counts(df: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def _low(col: Column) -> Column:
-    return F.lower(F.coalesce(col, F.lit("")))
+def _low(col: Column, lowered: bool = False) -> Column:
+    return col if lowered else F.lower(F.coalesce(col, F.lit("")))
+
+
+def with_lowered(df: DataFrame) -> DataFrame:
+    """``_url`` and ``_title``: page and title in lower case, computed once."""
+    return T.computed_once(df, _url=_low(F.col("page")), _title=_low(F.col("title")))
 
 
 def has_required(df: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -43,17 +48,17 @@ def has_required(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     return df.where(reduce(Column.__and__, filled))
 
 
-def is_off_topic(title: Column) -> Column:
+def is_off_topic(title: Column, lowered: bool = False) -> Column:
     """An off-topic word and no hazard word in the title."""
-    text = _low(title)
+    text = _low(title, lowered)
     return T.contains_any(text, vocab.OFF_TOPIC) & ~T.contains_any(text, vocab.ON_TOPIC)
 
 
-def is_foreign_news(title: Column, url: Column) -> Column:
+def is_foreign_news(title: Column, url: Column, lowered: bool = False) -> Column:
     """A foreign country in title or url, or an international section in the url."""
-    where = _low(url)
+    where = _low(url, lowered)
     return (
-        T.contains_any(_low(title), vocab.FOREIGN_COUNTRIES)
+        T.contains_any(_low(title, lowered), vocab.FOREIGN_COUNTRIES)
         | T.contains_any(where, vocab.FOREIGN_COUNTRIES)
         | T.contains_any(where, vocab.FOREIGN_URL_HINTS)
     )
@@ -88,34 +93,34 @@ def with_place_flags(
 
 def national_articles(df: DataFrame, districts: DataFrame, parishes: DataFrame) -> DataFrame:
     """Known district, known or empty parish, no excluded word in the url."""
+    rows = T.computed_once(df, _url=_low(F.col("page")))
+    rows = rows.where(~T.contains_any(F.col("_url"), vocab.NATIONAL_EXCLUDED)).drop("_url")
     return (
-        with_place_flags(df, districts, parishes, variants=False)
-        .where(
-            F.col("_district_ok")
-            & F.col("_parish_ok")
-            & ~T.contains_any(_low(F.col("page")), vocab.NATIONAL_EXCLUDED)
-        )
+        with_place_flags(rows, districts, parishes, variants=False)
+        .where(F.col("_district_ok") & F.col("_parish_ok"))
         .drop("_district_ok", "_parish_ok")
     )
 
 
-def url_is_home_or_neutral(page: Column) -> Column:
-    url = _low(page)
+def url_is_home_or_neutral(page: Column, lowered: bool = False) -> Column:
+    url = _low(page, lowered)
     return T.contains_any(url, vocab.HOME_URL_HINTS) | ~T.contains_any(url, vocab.FOREIGN_URL_WORDS)
 
 
 def geographic(df: DataFrame, districts: DataFrame, parishes: DataFrame) -> DataFrame:
     """Known district (or variant), known or empty parish, home or neutral url."""
     # The url test needs no join, so it runs before the list lookups.
+    rows = df if "_url" in df.columns else T.computed_once(df, _url=_low(F.col("page")))
+    rows = rows.where(url_is_home_or_neutral(F.col("_url"), True)).drop("_url")
     return (
-        with_place_flags(df.where(url_is_home_or_neutral(F.col("page"))), districts, parishes, True)
+        with_place_flags(rows, districts, parishes, True)
         .where(F.col("_district_ok") & F.col("_parish_ok"))
         .drop("_district_ok", "_parish_ok")
     )
 
 
-def quality_points(page: Column, title: Column) -> Column:
-    url = _low(page)
+def quality_points(page: Column, title: Column, lowered: bool = False) -> Column:
+    url = _low(page, lowered)
     checks = [
         (F.length(url) > 20) & ~F.endswith(url, F.lit("/")),
         F.length(F.coalesce(title, F.lit(""))) > 10,
@@ -126,9 +131,9 @@ def quality_points(page: Column, title: Column) -> Column:
     return reduce(Column.__add__, [c.cast("int") for c in checks])
 
 
-def is_quality(page: Column, title: Column) -> Column:
+def is_quality(page: Column, title: Column, lowered: bool = False) -> Column:
     """At least three of five quality checks hold."""
-    return quality_points(page, title) >= 3
+    return quality_points(page, title, lowered) >= 3
 
 
 def is_recent(date: Column, as_of: str | dt.date, max_age_days: int = 365) -> Column:
@@ -232,23 +237,26 @@ def route(kind: Column, sentinel: str = "Other") -> Column:
 
 
 def _row_stages(as_of: str | dt.date, max_age_days: int) -> list[tuple[str, Column]]:
-    """Row-level stages after the place lookup, cheapest meaningful order."""
+    """Row-level stages after the place lookup, in the reported order."""
+    url, title = F.col("_url"), F.col("_title")
     return [
-        ("quality", is_quality(F.col("page"), F.col("title"))),
-        ("keyword", X.keyword_gate_passes(F.col("page"))),
+        ("quality", is_quality(url, title, lowered=True)),
+        ("keyword", X.keyword_gate_passes(url, lowered=True)),
         ("temporal", is_recent(F.col("date"), as_of, max_age_days)),
         ("victims", victims_plausible()),
-        ("relevance", F.col("relevance_score") >= vocab.MIN_RELEVANCE),
+        ("relevance", F.col("_score") >= vocab.MIN_RELEVANCE),
     ]
 
 
 def _prepared(df: DataFrame) -> DataFrame:
-    out = with_counts(df, [*VICTIMS, "year"])
-    if "ml_relevance_score" not in out.columns:
-        out = out.withColumn("ml_relevance_score", F.lit(1.0))
-    return out.withColumn("_rel", X.relevance(F.col("page"), F.col("title"))).withColumns(
-        {"relevance_score": F.col("_rel.score"), "matched_categories": F.col("_rel.categories")}
-    ).drop("_rel")
+    out = with_lowered(with_counts(df, [*VICTIMS, "year"]))
+    return out if "ml_relevance_score" in out.columns else out.withColumn("ml_relevance_score", F.lit(1.0))
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    """``_text`` and its ``_score``, each computed once."""
+    out = T.computed_once(df, _text=F.concat("_url", F.lit(" "), "_title"))
+    return T.computed_once(out, _score=X.relevance_score(F.col("_text")))
 
 
 def cascade(
@@ -267,11 +275,18 @@ def cascade(
     mask (see :mod:`hazardspark.operators.relevance`).
     """
     out = _prepared(df if keep is None else df.where(keep))
-    for _, test in _row_stages(as_of, max_age_days):
+    *cheap, (_, relevant) = _row_stages(as_of, max_age_days)
+    for _, test in sorted(cheap, key=lambda stage: stage[0] in ("quality", "keyword")):
         out = out.where(test)
-    out = geographic(out, districts, parishes)
-    out = dedupe.dedupe_articles(out, order)
-    return drop_empty_rows(out).withColumn("evento_nome", X.storm_name(F.col("page")))
+    out = geographic(_scored(out).where(relevant), districts, parishes)
+    out = dedupe.dedupe_articles(out, order).withColumns(
+        {
+            "relevance_score": F.col("_score"),
+            "matched_categories": X.relevance_categories(F.col("_text")),
+            "evento_nome": X.storm_name(F.col("page")),
+        }
+    )
+    return drop_empty_rows(out.drop("_title", "_text", "_score"))
 
 
 def cascade_counts(
@@ -283,15 +298,17 @@ def cascade_counts(
     max_age_days: int = 365,
 ) -> DataFrame:
     """Rows left after every stage, in the reported order, as (stage_no, stage, n_rows)."""
-    flagged = with_place_flags(_prepared(df), districts, parishes, True)
-    passed = F.lit(True)
-    tests = [("loaded", F.lit(True))]
-    geo = F.col("_district_ok") & F.col("_parish_ok") & url_is_home_or_neutral(F.col("page"))
-    for name, test in [("geographic", geo), *_row_stages(as_of, max_age_days)]:
-        passed = passed & test
-        tests.append((name, passed))
-    row_level = flagged.agg(*[F.count_if(t).alias(n) for n, t in tests])
-    survivors = flagged.where(passed)
+    flagged = with_place_flags(_scored(_prepared(df)), districts, parishes, True)
+    geo = F.col("_district_ok") & F.col("_parish_ok") & url_is_home_or_neutral(F.col("_url"), True)
+    stages = [("geographic", geo), *_row_stages(as_of, max_age_days)]
+    # The number of leading stages a row passes says which counts it belongs to.
+    passed = F.lit(len(stages))
+    for i, (_, test) in reversed(list(enumerate(stages))):
+        passed = F.when(F.coalesce(test, F.lit(False)), passed).otherwise(i)
+    flagged = T.computed_once(flagged, _passed=passed)
+    tests = [("loaded", F.lit(0)), *[(n, F.lit(i)) for i, (n, _) in enumerate(stages, 1)]]
+    row_level = flagged.agg(*[F.count_if(F.col("_passed") >= i).alias(n) for n, i in tests])
+    survivors = flagged.where(F.col("_passed") == len(stages))
     pages = survivors.agg(F.count_distinct(F.coalesce("page", F.lit(""))).alias("page_dedupe"))
     unique = cascade(df, districts, parishes, as_of, order, max_age_days).agg(
         F.count(F.lit(1)).alias("content_dedupe")

@@ -39,19 +39,19 @@ def process(
         ),
     )
     rows = rows.withColumns({"title": T.strip(F.col("title")), "link": T.strip(F.col("link"))})
-    rows = rows.where(~filters.is_off_topic(F.col("title")))
-    rows = rows.withColumns(
-        {"_tv": X.title_victims(F.col("title"), number_words), "_norm": T.normalize(F.col("title"))}
+    rows = T.computed_once(rows, _low=F.lower("title"))
+    rows = rows.where(~filters.is_off_topic(F.col("_low"), lowered=True)).drop("_low")
+    rows = T.computed_once(
+        rows, _tv=X.title_victims(F.col("title"), number_words), _norm=T.normalize(F.col("title"))
     )
     if body:
         # The body is touched only for rows without victims in the title.
         read = F.when(~X.any_victim(F.col("_tv")), F.col(body))
-        rows = rows.withColumn("_body", T.normalize(read)).where(
+        rows = T.computed_once(rows, _body=T.normalize(read)).where(
             X.any_victim(F.col("_tv"))
             | T.contains_any(F.col("_body"), _folded(keywords or vocab.WEATHER_TERMS))
         )
-        from_body = X.victims_from_words(T.words_to_numbers(F.col("_body")))
-        rows = rows.withColumn("_v", X.first_with_victims(F.col("_tv"), from_body, F.col("_tv")))
+        rows = rows.withColumn("_v", X.first_with_victims(F.col("_tv"), X.victims_in(F.col("_body"))))
     else:
         rows = rows.withColumn("_v", F.col("_tv"))
     rows = rows.withColumns(

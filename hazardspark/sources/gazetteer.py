@@ -58,8 +58,12 @@ def parish_codes(df: DataFrame, name: str, code: str, order: list[str]) -> DataF
     missing = [c for c in (name, code) if c not in df.columns]
     if missing:
         raise ValueError(f"parish table lacks {', '.join(missing)}")
-    rows = df.select(T.normalize(F.col(name)).alias("name"), F.col(code).alias("code"), *order)
-    return keep_last(rows, ["name"], order).select("name", "code")
+    ranks = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
+    rows = df.select(
+        T.normalize(F.col(name)).alias("name"), F.col(code).alias("code"),
+        *[c.alias(n) for n, c in ranks.items()],
+    )
+    return keep_last(rows, ["name"], list(ranks)).select("name", "code")
 
 
 def parish_codes_nested(df: DataFrame, nested: str = "nested") -> DataFrame:

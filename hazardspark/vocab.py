@@ -22,6 +22,14 @@ BODY_VICTIM_PATTERNS = {
     "missing": r"(\d+)\s+(pessoas?\s+desaparecidas?|desaparecid[oa]s?)",
 }
 BODY_VICTIM_LIMIT = 1000
+# Letters without which a body pattern cannot match.
+BODY_STEMS = {
+    "fatalities": ["mort", "falecid", "morreram"],
+    "injured": ["ferid"],
+    "evacuated": ["evacuad"],
+    "displaced": ["desalojad", "deslocad"],
+    "missing": ["desaparecid"],
+}
 
 # Victim patterns for lower-cased titles.
 TITLE_VICTIM_PATTERNS = {
@@ -57,6 +65,14 @@ TITLE_VICTIM_PATTERNS = {
         r"(\d+)\s*(?:em\s*falta|dado[s]?\s*como\s*desaparecid[oa]s?)",
     ],
 }
+# Letters without which no title pattern of a label can match.
+TITLE_STEMS = {
+    "fatalities": ["mort", "bito", "mata", "matou", "morr", "falec"],
+    "injured": ["ferid", "fere", "deixa", "ferimento"],
+    "evacuated": ["evacu", "retir"],
+    "displaced": ["desalojad", "sem", "realoja"],
+    "missing": ["desaparecid", "procura", "falta"],
+}
 # Nouns that may follow a spelled-out number in a title.
 TITLE_WORD_NOUNS = {
     "fatalities": r"mort[oa]s?|vítimas?\s*mortais?",

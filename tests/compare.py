@@ -42,6 +42,8 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
+TIMES: dict[str, float] = {}
+
 _TYPES = {
     "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string",
     "DATE": "date", "BOOLEAN": "boolean", "HUGEINT": "HUGEINT!",
@@ -50,11 +52,15 @@ _TYPES = {
 
 def compare(spark_df, con, sql: str) -> str:
     """'' when equal, else what differs."""
+    clock = time.time()
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     types = {n: _TYPES.get(str(d[1]), str(d[1])) for n, d in zip(names, cur.description)}
     theirs = rows_of(names, cur.fetchall())
+    TIMES["sql"] = time.time() - clock
+    clock = time.time()
     ours = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    TIMES["spark"] = time.time() - clock
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} != {theirs[0]}"
     mine = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
@@ -97,7 +103,7 @@ def main(argv: list[str]) -> int:
                 label = f"rows={n}"
             else:
                 note = compare(df, con, sql)
-                label = "sql"
+                label = f"sql {TIMES['sql']:.1f}s spark {TIMES['spark']:.1f}s"
         except Exception as e:
             note, label = f"{type(e).__name__}: {str(e)[:1500]}", "error"
         failures += bool(note)
