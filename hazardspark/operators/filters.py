@@ -26,10 +26,15 @@ def column_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
 
 
 def with_counts(df: DataFrame, names: list[str]) -> DataFrame:
-    """Named columns as integer counts; absent ones become 0."""
-    return df.withColumns(
-        {n: T.to_count(F.col(n)) if n in df.columns else F.lit(0) for n in names}
-    )
+    """Named columns as integer counts; absent ones become 0. Integers are not parsed again."""
+    types = dict(df.dtypes)
+
+    def count(n: str) -> Column:
+        if n not in types:
+            return F.lit(0)
+        return F.coalesce(F.col(n), F.lit(0)) if types[n] == "int" else T.to_count(F.col(n))
+
+    return df.withColumns({n: count(n) for n in names})
 
 
 def _low(col: Column, lowered: bool = False) -> Column:
@@ -309,14 +314,18 @@ def cascade_counts(
     tests = [("loaded", F.lit(0)), *[(n, F.lit(i)) for i, (n, _) in enumerate(stages, 1)]]
     row_level = flagged.agg(*[F.count_if(F.col("_passed") >= i).alias(n) for n, i in tests])
     survivors = flagged.where(F.col("_passed") == len(stages))
-    pages = survivors.agg(F.count_distinct(F.coalesce("page", F.lit(""))).alias("page_dedupe"))
+    by_page = survivors.agg(F.count_distinct(F.coalesce("page", F.lit(""))).alias("page_dedupe"))
     unique = cascade(df, districts, parishes, as_of, order, max_age_days).agg(
         F.count(F.lit(1)).alias("content_dedupe")
     )
-    wide = row_level.join(pages).join(unique)
-    names = [n for n, _ in tests] + ["page_dedupe", "content_dedupe"]
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("stage_no"), F.lit(n).alias("stage"), F.col(n).alias("n_rows"))
-          for i, n in enumerate(names)]
-    )
-    return wide.select(F.explode(pairs).alias("r")).select("r.*")
+    out, number = None, 0
+    for part in (row_level, by_page, unique):
+        rows = []
+        for name in part.columns:
+            rows.append(
+                F.struct(F.lit(number).alias("stage_no"), F.lit(name).alias("stage"), F.col(name).alias("n_rows"))
+            )
+            number += 1
+        part = part.select(F.inline(F.array(*rows)))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -38,15 +38,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_dated(df: DataFrame, path: str, date: Column, mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """Lake layout year/month/day.
+    """Lake layout year/month/day; only the touched days are replaced.
 
-    Rows of one day are first spread over a few writers instead of one, so a
-    day that holds a third of the table does not end in one task; only the
-    touched days are replaced.
+    Rows are rebalanced on the day: small days share a writer, and a day that
+    holds a third of the table is split over many.
     """
     dated = df.withColumns(
         {"year": F.year(date), "month": F.month(date), "day": F.dayofmonth(date)}
-    )
+    ).hint("rebalance", "year", "month", "day")
     (
         dated.write.mode(mode).format(fmt)
         .option("partitionOverwriteMode", "dynamic")
@@ -57,8 +56,9 @@ def write_dated(df: DataFrame, path: str, date: Column, mode: str = "overwrite",
 
 def write_routed(df: DataFrame, path: str, route: Column, columns: list[str] | None = None) -> None:
     """One folder per route value in one pass over the input."""
-    out = df if columns is None else df.select(*columns)
-    out.withColumn("route", route).write.mode("overwrite").partitionBy("route").parquet(path)
+    routed = df.withColumn("route", route)
+    out = routed if columns is None else routed.select("route", *columns)
+    out.write.mode("overwrite").partitionBy("route").parquet(path)
 
 
 def append_and_snapshot(df: DataFrame, history: str, latest: str) -> None:

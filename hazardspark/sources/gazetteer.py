@@ -145,10 +145,10 @@ def centroid_table(*layers: DataFrame) -> DataFrame:
     return out.select(*schemas.CENTROID.fieldNames())
 
 
-def labelled_spans(spark: SparkSession, path: str) -> DataFrame:
-    """(text, start, end, label, span) of a labelled-text file."""
-    raw = spark.read.schema(schemas.LABELLED_SPANS).option("multiLine", "true").json(path)
-    return explode_spans(raw)
+def labelled_spans(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(text, start, end, label, span) of labelled texts: one JSON list, or JSON lines."""
+    reader = spark.read.schema(schemas.LABELLED_SPANS).option("multiLine", multi_line)
+    return explode_spans(reader.json(path))
 
 
 def explode_spans(df: DataFrame) -> DataFrame:
