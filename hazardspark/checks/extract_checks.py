@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.checks import frames as fr
-from hazardspark.checks.base import check, table
+from hazardspark.checks.base import check, documents, table
 from hazardspark.checks.text_checks import _SLUG, _words_sql, fold
 from hazardspark.functions import extract as X
 from hazardspark.functions import text as T
@@ -156,7 +156,7 @@ def x4(spark, sf):
 
 @check("x4_hazard_type_documents", f"SELECT doc_id, {_KIND} AS type, {_SUB} AS subtype FROM (SELECT doc_id, {fr.norm_sql('text')} AS norm FROM documents)")
 def x4d(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", T.normalize(F.col("text")).alias("norm"))
+    d = documents(spark, sf).select("doc_id", T.normalize(F.col("text")).alias("norm"))
     return d.select("doc_id", X.hazard_type(F.col("norm")).alias("h")).select("doc_id", "h.*")
 
 
@@ -182,7 +182,7 @@ _KW = vocab.WEATHER_TERMS + ["tión", "stein"]
 )
 def x6(spark, sf):
     x = F.col("text")
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", X.mentions_hazard(x, _KW).alias("hit"), X.mentions_hazard(x, _KW, strict=True).alias("strict_hit")
     )
 

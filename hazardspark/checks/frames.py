@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardspark.checks.base import table
+from hazardspark.functions import text as T
+from hazardspark.sources.tables import spread_small
 
 TERMS = [
     ("Cheia rápida", "cheia-rapida", "Flood", "flash_flood"),
@@ -52,6 +54,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
+    l = spread_small(l)
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
@@ -89,6 +92,12 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("c_custkey") % 7 == 0, "").otherwise(F.col("c_name")).alias("parish"),
         pad(F.col("c_custkey"), 6).alias("DICOFREG"),
     )
+    # Victim counts act as stored columns: predicates on them are not pushed into the CASEs.
+    out = T.computed_once(
+        out,
+        **{v: F.when(F.col("label") == v, F.col("n")).otherwise(0) for v in
+           ("fatalities", "injured", "evacuated", "displaced", "missing")},
+    )
     number = F.when(
         F.col("l_linestatus") == "F", _case(F.col("n"), WORDS, F.col("n").cast("string"))
     ).otherwise(F.col("n").cast("string"))
@@ -105,8 +114,6 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
                 F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
                 F.lit("?ref="), F.col("l_partkey").cast("string"),
             ),
-            **{v: F.when(F.col("label") == v, F.col("n")).otherwise(0) for v in
-               ("fatalities", "injured", "evacuated", "displaced", "missing")},
         }
     )
     return out.withColumns(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.checks import frames as fr
-from hazardspark.checks.base import check, table
+from hazardspark.checks.base import check, documents, table
 from hazardspark.checks.extract_checks import ART
 from hazardspark.functions import text as T
 from hazardspark.operators import catalog, dedupe, filters, geo, report
@@ -222,7 +222,7 @@ _WORDS_SQL = "SELECT DISTINCT substr(lower(c_mktsegment),1,3) AS w FROM customer
 def j13(spark, sf):
     seg = table(spark, sf, "customer").select(F.substring(F.lower("c_mktsegment"), 1, 3).alias("w"))
     names = seg.union(table(spark, sf, "part").select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("w"))).distinct()
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return geo.places_in_text(docs, "doc_id", "text", names.withColumn("rank", F.col("w")), "w", "rank").select("doc_id", "place")
 
 

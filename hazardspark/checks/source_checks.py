@@ -239,16 +239,19 @@ def k2(spark, sf):
     return out
 
 
-@check("k3_dated_lake", "SELECT o_orderkey, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, day(o_orderdate)::INTEGER AS day FROM orders WHERE o_orderdate::DATE <> DATE '1998-03-05' "
-       "UNION ALL SELECT o_orderkey + 1, 1998, 3, 5 FROM orders WHERE o_orderdate::DATE = DATE '1998-03-05'")
+@check(
+    "k3_dated_lake",
+    "SELECT event_id, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, day(ts)::INTEGER AS day FROM events WHERE ts::DATE <> DATE '2024-01-05' "
+    "UNION ALL SELECT event_id + 1000000000, 2024, 1, 5 FROM events WHERE ts::DATE = DATE '2024-01-05'",
+)
 def k3(spark, sf):
-    """Whole table by day, one day replaced afterwards; the file name carries the date."""
+    """Whole table by day, one day replaced afterwards."""
     path = fresh_dir(spark, "dated")
-    o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    files.write_dated(o, path, F.col("d"))
-    again = lake.on_day(spark.read.parquet(path), "1998-03-05").withColumn("o_orderkey", F.col("o_orderkey") + 1)
-    files.write_dated(again.select("o_orderkey", "d"), path, F.col("d"))
-    return spark.read.parquet(path).select("o_orderkey", "year", "month", "day")
+    e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("d"))
+    files.write_dated(e, path, F.col("d"))
+    again = lake.on_day(spark.read.parquet(path), "2024-01-05").withColumn("event_id", F.col("event_id") + 1000000000)
+    files.write_dated(again.select("event_id", "d"), path, F.col("d"))
+    return spark.read.parquet(path).select("event_id", "year", "month", "day")
 
 
 @check("k3_date_of_file_name", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN o_orderdate::DATE END AS file_date FROM orders")

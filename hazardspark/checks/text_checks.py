@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.checks import frames as fr
-from hazardspark.checks.base import check, table
+from hazardspark.checks.base import check, documents, table
 from hazardspark.functions import dates as D
 from hazardspark.functions import html as H
 from hazardspark.functions import text as T
@@ -26,7 +26,7 @@ def _text_md5(col: str):
     f"(SELECT doc_id, {fr.norm_sql('text')} AS x FROM documents)",
 )
 def t1(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", T.normalize(F.col("text")).alias("x"))
+    docs = documents(spark, sf).select("doc_id", T.normalize(F.col("text")).alias("x"))
     return docs.select("doc_id", _text_md5("x").alias("norm_md5"), F.length("x").alias("norm_len"))
 
 
@@ -65,7 +65,7 @@ def t2(spark, sf):
     f"'{fr.UNI_SPACE}+', ' ', 'g'), ' ') AS x FROM documents)",
 )
 def t3(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", T.clean_for_csv(F.col("text")).alias("x"))
+    docs = documents(spark, sf).select("doc_id", T.clean_for_csv(F.col("text")).alias("x"))
     return docs.select("doc_id", _text_md5("x").alias("clean_md5"))
 
 
@@ -134,7 +134,7 @@ _LINES = r"regexp_split_to_array(x, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x
     "(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || chr(10) || 'Última hora: Política de Privacidade' || chr(10) || 'fim' ELSE text END AS text FROM documents))",
 )
 def t8(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     noisy = F.concat("text", F.lit("\nÚltima hora: Política de Privacidade\nfim"))
     docs = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, noisy).otherwise(F.col("text")).alias("text"))
     return docs.select("doc_id", T.strip_boilerplate(F.col("text")).alias("x")).select(
@@ -148,7 +148,7 @@ def t8(spark, sf):
     f"lambda y: length(y) > 15 AND length(y) < 120)[1], '') AS title FROM (SELECT doc_id, text AS x FROM documents)",
 )
 def t9(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.title_from_text(F.col("text")).alias("title"))
+    return documents(spark, sf).select("doc_id", T.title_from_text(F.col("text")).alias("title"))
 
 
 _T10 = (
@@ -287,7 +287,7 @@ _DOC_TERMS = ["tion", "über", "que los", "c++ (", "not there"]
 )
 def t19(spark, sf):
     x = F.col("text")
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", T.contains_any(x, _DOC_TERMS).alias("any_hit"), T.count_contained(x, _DOC_TERMS).alias("n_hits")
     )
 

@@ -14,7 +14,9 @@ from hazardspark import vocab
 
 # Whitespace that str.strip() removes from ASCII text.
 ASCII_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
-_UNI_SPACE = r"[\s\x1c-\x1f]"
+# White space of str.strip() and str.split(), as escapes and as characters.
+_UNI_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x20\u0085   -     　]"
+_UNI_SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085  ]"
 
@@ -71,7 +73,7 @@ def normalize(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Trim all Unicode white space."""
-    return F.regexp_replace(col, rf"(?U)^{_UNI_SPACE}+|{_UNI_SPACE}+$", "")
+    return F.btrim(col, F.lit(_UNI_SPACE_CHARS))
 
 
 def words_to_numbers(col: Column, words: dict[str, int] | None = None) -> Column:
@@ -87,7 +89,7 @@ def words_to_numbers(col: Column, words: dict[str, int] | None = None) -> Column
 
 def clean_for_csv(col: Column) -> Column:
     """Double quotes to single, all white-space runs to one space; null becomes ''."""
-    one_line = F.regexp_replace(F.replace(col, F.lit('"'), F.lit("'")), rf"(?U){_UNI_SPACE}+", " ")
+    one_line = F.regexp_replace(F.replace(col, F.lit('"'), F.lit("'")), f"{_UNI_SPACE}+", " ")
     return F.coalesce(F.trim(one_line), F.lit(""))
 
 

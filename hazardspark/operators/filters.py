@@ -162,11 +162,21 @@ def is_recent(date: Column, as_of: str | dt.date, max_age_days: int = 365) -> Co
     return F.coalesce(age.between(0, max_age_days), F.lit(True))
 
 
+def _counts() -> Column:
+    return F.array(*[F.coalesce(F.col(v), F.lit(0)).cast("bigint") for v in VICTIMS])
+
+
 def victims_plausible(limit: int = 10000) -> Column:
     """Each count and their sum within the limit, sum above 0; negatives do not count."""
-    counts = [F.greatest(F.coalesce(F.col(v), F.lit(0)), F.lit(0)).cast("bigint") for v in VICTIMS]
-    total = reduce(Column.__add__, counts)
-    return (F.greatest(*counts) <= limit) & (total <= limit) & (total > 0)
+    zero = F.lit(0).cast("bigint")
+    total = lambda counts: F.aggregate(counts, zero, lambda acc, n: acc + F.greatest(n, zero))
+    return F.exists(
+        F.array(_counts()),
+        lambda counts: F.exists(
+            F.array(total(counts)),
+            lambda sum_: (sum_ > 0) & (sum_ <= limit) & (F.array_max(counts) <= limit),
+        ),
+    )
 
 
 def any_victims() -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.functions import text as T
+from hazardspark.sources.tables import estimated_bytes
 
 
 def _key(col: Column) -> Column:
@@ -179,10 +180,6 @@ def _anchors(names: DataFrame) -> DataFrame:
     )
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def places_in_text(
     docs: DataFrame, doc_id: str, text: str, places: DataFrame, name: str, rank: str
 ) -> DataFrame:
@@ -200,8 +197,15 @@ def places_in_text(
     ).where(F.length("_name") > 0)
     anchors = _anchors(named.select("_name").distinct())
     texts = docs.select(F.col(doc_id), T.normalize(F.col(text)).alias("_text"))
-    all_grams = F.concat(*[_grams(F.col("_text"), n) for n in GRAM_SIZES])
-    if _estimated_bytes(places) <= SMALL_GAZETTEER_BYTES:
+    # Texts yield grams only of the sizes that anchor some name.
+    all_grams = F.concat(
+        *[
+            F.when(anchors.agg(F.bool_or(F.length("_gram") == n)).scalar(), _grams(F.col("_text"), n))
+            .otherwise(F.array().cast("array<string>"))
+            for n in GRAM_SIZES
+        ]
+    )
+    if estimated_bytes(places) <= SMALL_GAZETTEER_BYTES:
         hits = (
             texts.select(doc_id, "_text", F.explode(all_grams).alias("_gram"))
             .join(F.broadcast(anchors), "_gram")
