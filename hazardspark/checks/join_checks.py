@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hazardspark import vocab
 from hazardspark.checks import frames as fr
 from hazardspark.checks.base import check, documents, table
-from hazardspark.checks.extract_checks import ART
+from hazardspark.checks.extract_checks import ART, hazard_sql, title_counts_sql
 from hazardspark.functions import text as T
 from hazardspark.operators import catalog, dedupe, filters, geo, report
 from hazardspark.operators.upsert import upsert
@@ -515,9 +515,17 @@ def k6(spark, sf):
     return sink_tables.staging_frame(raw, _stamp()).select("ID", "date", "fatalities", "relevance_score", "DICOFREG", "district")
 
 
+_NEWS_KIND, _NEWS_SUB = hazard_sql("norm")
+
+
 @check(
     "news_articles_from_raw",
-    None,
+    ART + f", r AS (SELECT *, {fr.norm_sql('title')} AS norm FROM art WHERE NOT ({fr.any_sql('lower(title)', vocab.OFF_TOPIC)} AND NOT {fr.any_sql('lower(title)', vocab.ON_TOPIC)})), "
+    f"v AS (SELECT ID, {title_counts_sql('lower(title)')} FROM r), "
+    "pc AS (SELECT n_name||' '||c_mktsegment AS m, max(lpad(c_custkey::VARCHAR,6,'0')) AS code FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1) "
+    f"SELECT r.ID, title, {_NEWS_KIND} AS type, {_NEWS_SUB} AS subtype, date, year, month, day, hour, municipali AS georef, district, municipali, municipali AS parish, code AS DICOFREG, "
+    "regexp_replace(split_part(outlet,'.',1),'[^a-z]','','g') AS source, '2001-08-01' AS sourcedate, 'web' AS sourcetype, link AS page, "
+    + ", ".join(f"v.{v}" for v in VICTIMS) + " FROM r JOIN v ON v.ID = r.ID JOIN pc ON pc.m = municipali",
 )
 def news_articles(spark, sf):
     """Raw articles to article rows through the news plan."""

@@ -216,16 +216,28 @@ class Star:
     information_sources: DataFrame
 
 
+COPIES_PER_TASK_ROW = 10_000
+
+
 def with_event_id(wide: DataFrame) -> DataFrame:
     """``id`` = md5 of the row's values and its ordinal among equal rows.
 
     The same input always gets the same ids, in any order and on any cluster.
-    Equal rows are counted by an aggregate and re-expanded, so repeats of one
-    row never gather in one task.
+    Equal rows are counted by an aggregate and re-expanded. A row with very
+    many copies is expanded in blocks that are dealt out first, so no task
+    writes all copies of one row; both branches reuse the same shuffle.
     """
     columns = wide.columns
+    block = F.lit(COPIES_PER_TASK_ROW)
     counted = wide.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    rows = counted.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_ordinal"))
+    few = counted.where(F.col("_n") <= block).withColumn("_block", F.lit(0).cast("bigint"))
+    many = counted.where(F.col("_n") > block).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / block)))
+    )
+    dealt = few.unionByName(many.repartition(F.xxhash64("_block", *columns)))
+    first = F.col("_block") * block + 1
+    last = F.least(F.col("_n"), (F.col("_block") + 1) * block)
+    rows = dealt.select(*columns, F.explode(F.sequence(first, last)).alias("_ordinal"))
     text = F.concat_ws(
         "|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns], F.col("_ordinal").cast("string")
     )

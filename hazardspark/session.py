@@ -28,6 +28,8 @@ def build_session(app: str = "hazardspark", master: str | None = None, **conf: s
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         # Wide text expressions: generated methods the JVM would not compile are split instead.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Whole pages travel to the HTML helper; small batches bound its memory.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         **conf,
     }
     for key, value in settings.items():

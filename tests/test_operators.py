@@ -123,6 +123,13 @@ def test_event_ids_are_stable_and_unique(spark):
     assert first.select("id").distinct().count() == 3
 
 
+def test_event_ids_of_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "COPIES_PER_TASK_ROW", 10)
+    df = spark.range(57).select((F.col("id") % 2 * 0).alias("a")).unionByName(spark.range(3).select(F.col("id").alias("a")))
+    got = catalog.with_event_id(df)
+    assert (got.count(), got.select("id").distinct().count(), got.where("a = 0").count()) == (60, 60, 58)
+
+
 # --- filters ---------------------------------------------------------------------------------
 
 
