@@ -83,8 +83,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     ART + f"SELECT seq, {body_counts_sql('p')} FROM (SELECT seq, {_words_sql(fr.norm_sql('title'))} AS p FROM art)",
 )
 def x1(spark, sf):
-    a = fr.articles(spark, sf).select("seq", "title")
-    return a.select("seq", X.victim_counts(F.col("title")).alias("v")).select("seq", "v.*")
+    a = fr.articles(spark, sf).select("seq", T.normalize(F.col("title")).alias("norm"))
+    return X.with_victim_counts(a, "norm").select("seq", *VICTIMS)
 
 
 @check("x2_title_victims", ART + f"SELECT seq, {title_counts_sql('t')} FROM (SELECT seq, lower(title) AS t FROM art)")

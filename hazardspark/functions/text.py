@@ -15,10 +15,11 @@ from hazardspark import vocab
 # Whitespace that str.strip() removes from ASCII text.
 ASCII_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 # White space of str.strip() and str.split(), as escapes and as characters.
-_UNI_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x20\u0085   -     　]"
+_UNI_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+PLAIN_SPACE, BELOW_SPACE = r"\x1c-\x20", r"\x1c-\x1f"
 _UNI_SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085  ]"
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 
 
 @functools.cache
@@ -89,7 +90,10 @@ def words_to_numbers(col: Column, words: dict[str, int] | None = None) -> Column
 
 def clean_for_csv(col: Column) -> Column:
     """Double quotes to single, all white-space runs to one space; null becomes ''."""
-    one_line = F.regexp_replace(F.replace(col, F.lit('"'), F.lit("'")), f"{_UNI_SPACE}+", " ")
+    text = F.replace(col, F.lit('"'), F.lit("'"))
+    # Most cells hold single plain spaces only and need no rewriting.
+    untidy = F.rlike(text, F.lit(f"{_UNI_SPACE.replace(PLAIN_SPACE, BELOW_SPACE)}|  "))
+    one_line = F.when(untidy, F.regexp_replace(text, f"{_UNI_SPACE}+", " ")).otherwise(text)
     return F.coalesce(F.trim(one_line), F.lit(""))
 
 

@@ -58,14 +58,16 @@ def process(
         {"_hazard": X.hazard_type(F.col("_norm")), "_when": D.format_published(F.col("published"))}
     )
     rows = rows.withColumn("loc", T.strip(F.coalesce("localidade", F.lit(""))))
-    rows = geo.enrich_place(rows, places, codes)
     clean = lambda c: T.clean_for_csv(F.col(c))
+    # Place names are cleaned in the gazetteer, not once per article.
+    tidy = places.withColumns({"district": clean("district"), "municipality": clean("municipality")})
+    rows = geo.enrich_place(rows, tidy, codes)
     cols: dict[str, Column] = {
         "ID": F.col("ID"), "title": clean("title"),
         "type": F.col("_hazard.type"), "subtype": F.col("_hazard.subtype"),
         "date": F.col("_when.date"), "year": F.col("_when.year"), "month": F.col("_when.month"),
         "day": F.col("_when.day"), "hour": F.col("_when.hour"),
-        "georef": clean("loc"), "district": clean("district"), "municipali": clean("municipality"),
+        "georef": clean("loc"), "district": F.col("district"), "municipali": F.col("municipality"),
         "parish": clean("loc"), "DICOFREG": F.col("DICOFREG"),
         "source": T.source_name(F.col("link")), "sourcedate": F.lit(str(as_of)),
         "sourcetype": F.lit("web"), "page": clean("link"),
