@@ -79,12 +79,12 @@ def quality_sql(u: str, title: str) -> str:
 @check(
     "f6_quality",
     ART + f"SELECT k, {quality_sql('u', 't')} AS points, {quality_sql('u', 't')} >= 3 AS passes FROM (SELECT seq AS k, lower(page) AS u, title AS t FROM art "
-    "UNION ALL SELECT 'p'||page_id, lower(url), left(html, (page_id % 20)::INTEGER) FROM pages)",
+    "UNION ALL SELECT 'p'||page_id, lower(url), split_part(url,'/',-1) FROM pages)",
 )
 def f6(spark, sf):
     a = fr.articles(spark, sf).select(F.col("seq").alias("k"), F.col("page").alias("u"), F.col("title").alias("t"))
     p = table(spark, sf, "pages").select(
-        F.concat(F.lit("p"), "page_id").alias("k"), F.col("url").alias("u"), F.left("html", (F.col("page_id") % 20).cast("int")).alias("t")
+        F.concat(F.lit("p"), "page_id").alias("k"), F.col("url").alias("u"), F.substring_index("url", "/", -1).alias("t")
     )
     both = a.unionByName(p)
     return both.select(
@@ -164,10 +164,9 @@ def f11(spark, sf):
     return a.where(F.col("relevance_score") >= vocab.MIN_RELEVANCE).select("seq", "relevance_score")
 
 
-@check("f12_title_rule", "SELECT doc_id FROM documents WHERE length(left(text, (doc_id % 17)::INTEGER)) >= 10")
+@check("f12_title_rule", "SELECT p_partkey FROM part WHERE length(p_name) >= 10")
 def f12(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.left("text", (F.col("doc_id") % 17).cast("int")).alias("title"))
-    return d.where(filters.long_enough_title(F.col("title"))).select("doc_id")
+    return table(spark, sf, "part").where(filters.long_enough_title(F.col("p_name"))).select("p_partkey")
 
 
 @check("f13_publication_window", ART + f"SELECT seq FROM art WHERE l_linenumber <> 3 AND day_date BETWEEN DATE '{AS_OF}' - 30 AND DATE '{AS_OF}'")

@@ -71,13 +71,12 @@ def j3(spark, sf):
 
 @check(
     "j4_municipality_point",
-    fr.texts(fr.ART, fr.CEN) + ", m AS (SELECT lower(distrito) AS d, lower(concelho) AS c, arg_min({'lat': latitude, 'lon': longitude}, (coalesce(dicofre,''), latitude, longitude)) AS p FROM cen WHERE concelho IS NOT NULL AND concelho NOT LIKE '%BUILDING' GROUP BY 1,2) "
+    fr.texts(fr.ART, fr.CEN) + ", m AS (SELECT lower(distrito) AS d, lower(concelho) AS c, arg_min({'lat': latitude, 'lon': longitude}, (coalesce(dicofre,''), latitude, longitude)) AS p FROM cen WHERE concelho IS NOT NULL GROUP BY 1,2) "
     "SELECT seq, coalesce(p.lat, 39.5::DOUBLE) AS latitude, coalesce(p.lon, -8.0::DOUBLE) AS longitude, CASE WHEN p IS NULL THEN 0 ELSE 3 END AS georef_class FROM art LEFT JOIN m ON d = lower(district) AND c = lower(municipali)",
 )
 def j4(spark, sf):
     a = fr.articles(spark, sf).select("seq", "district", F.col("municipali").alias("municipality"), F.lit(3).alias("georef_class"))
-    cen = fr.centroids(spark, sf).where("concelho NOT LIKE '%BUILDING'")
-    return geo.municipality_point(a, cen).select("seq", "latitude", "longitude", "georef_class")
+    return geo.municipality_point(a, fr.centroids(spark, sf)).select("seq", "latitude", "longitude", "georef_class")
 
 
 _ALIASES = {"NATION_1 BUILDING": ("Alias A", "Town A"), "NATION_2 MACHINERY": ("Alias B", "Town B"), **vocab.REGION_ALIASES}
@@ -467,15 +466,14 @@ def k8(spark, sf):
 
 
 def _staging(spark, sf):
-    a = fr.articles(spark, sf).where("l_linenumber % 3 = 0")
-    a = dedupe.keep_first(a, ["page"], ["seq"])
+    a = dedupe.keep_first(fr.articles(spark, sf), ["page"], ["seq"])
     return a.select(
         F.col("page").alias("ID"), "type", "subtype", F.when(F.col("l_tax") > 0.07, "ontem").otherwise(F.col("date")).alias("date"), "hour", F.lit(None).cast("string").alias("georef"), "district", "municipali", "parish",
         "DICOFREG", *VICTIMS, "source", "sourcedate", "sourcetype", "page",
     )
 
 
-_STAGING_SQL = "st AS (SELECT * FROM art WHERE l_linenumber % 3 = 0 QUALIFY row_number() OVER (PARTITION BY page ORDER BY seq) = 1)"
+_STAGING_SQL = "st AS (SELECT * FROM art QUALIFY row_number() OVER (PARTITION BY page ORDER BY seq) = 1)"
 
 
 def _old_events(spark, sf):

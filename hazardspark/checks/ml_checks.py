@@ -15,7 +15,7 @@ def relevance_rows(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     rows = docs.join(labels, "doc_id", "left").withColumnRenamed("text", "title")
-    return relevance.with_model_text(rows).drop("source")
+    return relevance.with_model_text(rows)
 
 
 def relevance_model(spark, sf) -> PipelineModel:
@@ -47,5 +47,6 @@ def m2b(spark, sf):
 @check("m3_model_or_rules")
 def m3(spark, sf):
     scored = relevance.score(relevance_rows(spark, sf), relevance_model(spark, sf))
-    short = scored.withColumn("title", F.left("title", (F.col("doc_id") % 17).cast("int")))
-    return short.where(relevance.model_or_rules(F.col("ml_relevance_score"), F.col("title"))).select("doc_id")
+    # The source name stands for the title, so that the length rule decides some rows.
+    rules = relevance.model_or_rules(F.col("ml_relevance_score"), F.col("source"))
+    return scored.where(rules).select("doc_id")

@@ -82,11 +82,11 @@ def t4(spark, sf):
 
 @check(
     "t5_ids",
-    r"SELECT page_id, md5(regexp_replace(url, '[?#].*$', '')) AS url_id, left(md5(url||left(html,40)),16) AS fallback_id,"
-    r" md5(lower(left(html,40))) AS title_hash FROM pages",
+    r"SELECT page_id, md5(regexp_replace(url, '[?#].*$', '')) AS url_id, left(md5(url||html),16) AS fallback_id,"
+    r" md5(lower(html)) AS title_hash FROM pages",
 )
 def t5(spark, sf):
-    p = table(spark, sf, "pages").withColumn("t", F.left("html", F.lit(40)))
+    p = table(spark, sf, "pages").withColumn("t", F.col("html"))
     return p.select(
         "page_id", T.url_id(F.col("url")).alias("url_id"),
         T.fallback_id(F.col("url"), F.col("t")).alias("fallback_id"), T.title_hash(F.col("t")).alias("title_hash"),
