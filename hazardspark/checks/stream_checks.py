@@ -9,9 +9,12 @@ from hazardspark.session import fresh_dir
 from hazardspark.streaming import incremental as inc
 
 
-def _events(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return inc.file_stream(spark, sf, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+def _events(spark, sf, instants=False):
+    """The events file as a stream; ``instants`` reads its zone-free times as UTC."""
+    stream = inc.file_stream(spark, sf, table(spark, sf, "events").schema, "events.parquet")
+    if not instants:
+        return stream
+    return stream.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
 
 @check("z1_incremental_ingest", "SELECT event_id, user_id, event_type, value FROM events")
@@ -24,7 +27,7 @@ def z1(spark, sf):
 @check("z2_stateful_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def z2(spark, sf):
     out = fresh_dir(spark, "stream")
-    inc.dedupe_run(_events(spark, sf), ["user_id", "event_type"], "ts", "60 days", out, f"{out}-state")
+    inc.dedupe_run(_events(spark, sf, True), ["user_id", "event_type"], "ts", "60 days", out, f"{out}-state")
     return spark.read.parquet(out).select("user_id", "event_type")
 
 
@@ -46,5 +49,5 @@ def z4(spark, sf):
 @check("z5_monthly_counts", "SELECT year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, event_type, count(*) AS ocorrencias FROM events GROUP BY ALL")
 def z5(spark, sf):
     out = fresh_dir(spark, "stream")
-    inc.daily_counts_run(_events(spark, sf), "ts", "event_type", "2 days", out, f"{out}-state")
+    inc.daily_counts_run(_events(spark, sf, True), "ts", "event_type", "2 days", out, f"{out}-state")
     return inc.monthly_from_days(inc.latest(spark, out), "event_type")

@@ -90,7 +90,7 @@ def within_window(df: DataFrame, time: str, as_of: Column, days: int) -> DataFra
 def daily_counts_run(
     stream: DataFrame, time: str, kind: str, delay: str, table: str, checkpoint: str
 ) -> None:
-    """Keep daily counts per kind up to date in a versioned table.
+    """Keep counts per UTC day and kind up to date in a versioned table.
 
     Days are fixed-length windows and bounded state; changed days are merged
     after every batch, so days still open are in the table too.
@@ -99,10 +99,8 @@ def daily_counts_run(
         stream.withWatermark(time, delay)
         .groupBy(F.window(time, "1 day"), kind)
         .agg(F.count(F.lit(1)).alias("ocorrencias"))
-        .select(
-            F.concat_ws("|", F.date_format("window.start", "yyyy-MM-dd"), kind).alias("key"),
-            F.to_date("window.start").alias("day"), kind, "ocorrencias",
-        )
+        .withColumn("day", F.to_date(F.to_utc_timestamp("window.start", F.current_timezone())))
+        .select(F.concat_ws("|", F.col("day").cast("string"), kind).alias("key"), "day", kind, "ocorrencias")
     )
     spark = stream.sparkSession
 
