@@ -21,6 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from hazardspark.llm.common import bounded_batches, id_and_text, record
 
@@ -190,6 +191,14 @@ def encoder(data: bytes, pattern: str) -> Encoder:
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
 
+def _broadcast_ranks(spark: SparkSession, ranks_path: str):
+    """The rank file's bytes; of a checked size, so that they can go to every executor."""
+    if os.path.getsize(ranks_path) > 64 << 20:
+        raise ValueError("a rank file of over 64 MB is not broadcast")
+    with open(ranks_path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), decoded (the bytes the ids stand for).
 
@@ -197,10 +206,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     """
     spark: SparkSession = docs.sparkSession
     bounded_batches(spark)
-    if os.path.getsize(ranks_path) > 64 << 20:
-        raise ValueError("a rank file of over 64 MB is not broadcast")
-    with open(ranks_path, "rb") as f:
-        data = spark.sparkContext.broadcast(f.read())
+    data = _broadcast_ranks(spark, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(data.value, pattern)
@@ -211,3 +217,28 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             )
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
+
+
+def with_ids(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """docs with bpe_n_tokens, bpe_ids and bpe_exact (the ids decode to the text); such columns of docs are replaced."""
+    spark: SparkSession = docs.sparkSession
+    bounded_batches(spark)
+    docs = docs.drop("bpe_n_tokens", "bpe_ids", "bpe_exact")
+    data = _broadcast_ranks(spark, ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(data.value, pattern)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            ids = [bpe.encode(t) for t in texts]
+            new = [
+                pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
+                pa.array([bpe.decode(i) == t.encode() for i, t in zip(ids, texts)], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "bpe_n_tokens", "bpe_ids", "bpe_exact"])
+
+    schema = T.StructType([
+        *docs.schema.fields, T.StructField("bpe_n_tokens", T.LongType()), T.StructField("bpe_ids", T.BinaryType()),
+        T.StructField("bpe_exact", T.BooleanType()),
+    ])
+    return docs.mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, simhash
+from hazardspark.llm import bpe, mixing, pii, simhash, toxicity
 from hazardspark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -32,7 +32,32 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op6_mix_sources", mixing.mix_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's calibrated probability and whether the mix keeps it."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("m_tokens").alias("n_tokens"), F.col("m_topic").alias("topic"),
+        F.round("m_probability", 6).alias("probability"), F.col("m_kept").alias("kept"),
+    )
+
+
+@query("op8_toxicity_chain")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of each category and whether it is rejected."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op9_simhash_anchors")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=4)
+
+
+@query("op10_pii_boosting")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and selected spans of personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
