@@ -134,7 +134,7 @@ def mix_sql(rounds: int = ROUNDS, power: float = POWER, fraction: float = FRACTI
     share = lambda chars: f"(length(t) - length(translate(t, '{chars}', ''))) / greatest(length(t), 1)"
     parts = [
         f"""base AS (SELECT *, coalesce(text, '') AS t FROM {docs})""",
-        f"""named AS (SELECT *, CAST(len(list_filter(string_split(translate(t, chr(9) || chr(10) || chr(13) || chr(11) || chr(12), '     '), ' '), w -> w <> '')) AS BIGINT) AS m_tokens,
+        f"""named AS (SELECT *, CAST(len([w FOR w IN string_split(translate(t, chr(9) || chr(10) || chr(13) || chr(11) || chr(12), '     '), ' ') IF w <> '']) AS BIGINT) AS m_tokens,
             coalesce(source, chr(0)) AS m_source, coalesce(lang, chr(0)) AS m_lang,
             CASE WHEN {share('ABCDEFGHIJKLMNOPQRSTUVWXYZ')} > 0.3 THEN 'capitals' WHEN {share('0123456789')} > 0.05 THEN 'figures'
             WHEN {share('|')} > 0.02 THEN 'table' WHEN {share('%&$#*!')} > 0.05 THEN 'symbols' ELSE 'prose' END AS m_topic FROM base)""",

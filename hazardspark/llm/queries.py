@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, mixing, pii, simhash, toxicity
-from hazardspark.llm.common import Query, table
+from hazardspark.llm import bpe, html_text, langid, mixing, pii, pivots, simhash, toxicity
+from hazardspark.llm.common import Query, share, table
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,39 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op3_html_consensus")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, share(F.col("doc_id"), 4) != 2)
+    return langid.predict(docs, model).withColumn("held_out", F.coalesce(share(F.col("doc_id"), 4) == 2, F.lit(False)))
+
+
+@query(
+    "op5_pivot_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, min([floor(64 * x::DOUBLE) FOR x IN embedding]) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 20
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20."""
+    return pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op6_mix_sources", mixing.mix_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's calibrated probability and whether the mix keeps it."""
