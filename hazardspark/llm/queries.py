@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, html_text, langid, mixing, pii, pivots, simhash, toxicity
+from hazardspark.llm import bpe, html_text, jpeg, langid, mixing, pii, pivots, simhash, toxicity
 from hazardspark.llm.common import Query, share, table
 
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_progressive_jpeg")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text as a progressive JPEG, its payload read back from the file, and the picture's statistics."""
+    out = jpeg.from_media(jpeg.to_media(table(spark, sf_dir, "documents")))
+    return out.select(
+        "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -32, 32)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"), "feature",
+    )
+
+
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and what they decode to, as digests."""
