@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, html_text, jpeg, langid, mixing, pii, pivots, simhash, toxicity
+from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, pii, pivots, simhash, toxicity
 from hazardspark.llm.common import Query, share, table
 
 QUERIES: dict[str, Query] = {}
@@ -85,6 +85,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_katz_backoff")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the model of six sevenths of them, and under the base model."""
+    return katz.score(table(spark, sf_dir, "documents"), share(F.col("doc_id"), 7) == 2)
+
+
 @query("op8_toxicity_chain")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's probability of each category and whether it is rejected."""
