@@ -32,6 +32,7 @@ from hazardspark.session import fresh_dir
 
 BLOCK, OWNED, SMALL = 16 << 20, 4_000_000, 5
 END = b"\n"
+_BLOCKS = "block long, doc_ids array<long>, train array<boolean>, lens array<long>, keys binary, seq binary"
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -133,7 +134,7 @@ def to_blocks(docs: DataFrame, held: Column, id_col: str, text_col: str) -> Data
         if ids:
             yield block()
 
-    return rows.mapInArrow(run, "block long, doc_ids array<long>, train array<boolean>, lens array<long>, keys binary, seq binary")
+    return rows.mapInArrow(run, _BLOCKS)
 
 
 def _dealt(owner: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
@@ -329,7 +330,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     bounded_batches(spark)
     folder = fresh_dir(spark, "katz")
     to_blocks(docs, held, id_col, text_col).write.parquet(f"{folder}/blocks")
-    blocks = spark.read.parquet(f"{folder}/blocks")
+    blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
     total = blocks.select(F.aggregate("lens", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).agg(F.sum("n")).first()[0] or 0
     owners = max(8, -(-total // owned))
     bounded_batches(spark, mb=32, rows=8)

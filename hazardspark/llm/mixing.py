@@ -48,8 +48,9 @@ def topic(text: Column) -> Column:
 
 
 def with_cells(docs: DataFrame, text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_of: Column | None = None) -> DataFrame:
-    """docs with m_tokens and the three categories under names of their own; null is the category '\\0'."""
+    """docs with m_tokens and the three categories under names of their own (such columns of docs are replaced); null is '\\0'."""
     named = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
+    docs = docs.drop("m_tokens", *MARGINS, "m_probability", "m_kept")
     return docs.select(
         "*", tokens(F.col(text_col)).alias("m_tokens"), named(F.col(source_col)).alias("m_source"),
         named(F.col(lang_col)).alias("m_lang"), named(topic(F.col(text_col)) if topic_of is None else topic_of).alias("m_topic"),

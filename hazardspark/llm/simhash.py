@@ -273,7 +273,7 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, threshold: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of documents that are first in their component; rows without an id stay, repeated ids stay once."""
+    """The rows of documents that are first in their component; rows without an id stay, rows that repeat an id stay together."""
     later = near_duplicates(docs, threshold, id_col=id_col, text_col=text_col).where("doc_id <> component_id")
-    first = docs.join(cut_lineage(later.select(F.col("doc_id").alias("_later")).distinct()), F.col(id_col) == F.col("_later"), "left_anti")
-    return first
+    later = cut_lineage(later.select(F.col("doc_id").alias("_later")).distinct())
+    return docs.join(later, docs[id_col].cast("long") == later["_later"], "left_anti")
