@@ -13,9 +13,8 @@ import statistics
 import sys
 import time
 
-from pyspark.sql import SparkSession
-
 from hazardspark.checks import QUERIES
+from hazardspark.session import build_session
 
 HEADLINES = [
     "flagship_monthly_victims", "news_articles_from_raw", "f17_filter_cascade", "publication_main_table",
@@ -32,17 +31,13 @@ def main() -> int:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINES
     runs = int(os.environ.get("BENCH_RUNS", "1"))
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("bench")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        # Small files are split so that every core has work.
-        .config("spark.sql.files.maxPartitionBytes", "4m")
-        .config("spark.sql.files.openCostInBytes", "1m")
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .getOrCreate()
+    spark = build_session(
+        "bench", f"local[{cpus}]",
+        **{
+            "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+            # Small files are split so that every core has work.
+            "spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "1m",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}

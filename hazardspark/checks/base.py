@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardspark.sources.tables import spread_small
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,8 +25,8 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id and whole text, on all cores also where the file is one row group."""
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """doc_id and whole text."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

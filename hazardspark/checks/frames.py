@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from hazardspark.checks.base import table
 from hazardspark.functions import text as T
-from hazardspark.sources.tables import spread_small
 
 TERMS = [
     ("Cheia rápida", "cheia-rapida", "Flood", "flash_flood"),
@@ -54,7 +53,6 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
-    l = spread_small(l)
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")

@@ -444,6 +444,19 @@ def u2(spark, sf):
     return _all_catalogues(spark, sf).groupBy("catalogue").agg(F.count(F.lit(1)).alias("n"), F.sum("fatalities").alias("fatalities"))
 
 
+@check(
+    "u2_rejects",
+    "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'n/a' ELSE '38.5' END AS latitude, CASE WHEN c_custkey % 7 = 0 THEN 'rejected' ELSE 'mapped' END AS outcome FROM customer",
+)
+def u2_rejects(spark, sf):
+    """Reports with an unreadable coordinate are set aside and take no others with them."""
+    reports = table(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise("38.5").alias("latitude"), F.lit("-9.1").alias("longitude")
+    )
+    good, bad = catalog.report_quarantine(reports)
+    return good.withColumn("outcome", F.lit("mapped")).unionByName(bad.withColumn("outcome", F.lit("rejected"))).drop("longitude")
+
+
 @check(
     "k8_star_fan_out",
     f"SELECT count(*) AS disasters, count(*) AS ids, count(latitude) AS locations, count(*) AS impacts, count(*) AS sources, sum(fatalities)::BIGINT AS fatalities, round(sum(latitude),2) AS lat_sum FROM ({_ESWD_SQL} UNION ALL {_ESWD_SQL})",

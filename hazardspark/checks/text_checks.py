@@ -195,13 +195,13 @@ def _messy():
 
 @check(
     "t11_safe_values",
-    f"SELECT o_orderkey, {fr.safe_int_sql('s')} AS safe_int, left(coalesce(s,'')||repeat(o_orderpriority,12), 100) AS safe_str "
+    f"SELECT o_orderkey, {fr.safe_int_sql('s')} AS safe_int, left(coalesce(s,'')||repeat(o_orderpriority,12), 100) AS safe_str, coalesce(s,'')||repeat(o_orderpriority,12) AS whole_str "
     f"FROM (SELECT o_orderkey, o_orderpriority, {_MESSY_SQL} AS s FROM orders)",
 )
 def t11(spark, sf):
     o = table(spark, sf, "orders").withColumn("s", _messy())
     long = F.concat(F.coalesce("s", F.lit("")), F.repeat("o_orderpriority", 12))
-    return o.select("o_orderkey", T.safe_int(F.col("s")).alias("safe_int"), T.safe_str(long).alias("safe_str"))
+    return o.select("o_orderkey", T.safe_int(F.col("s")).alias("safe_int"), T.safe_str(long, 100).alias("safe_str"), T.safe_str(long).alias("whole_str"))
 
 
 @check(
@@ -250,7 +250,7 @@ def t15(spark, sf):
 @check(
     "t16_relevance_text",
     f"SELECT page_id, CASE WHEN trim(x) = '' THEN 'no content' ELSE x END AS model_text FROM (SELECT page_id, concat_ws(' ', "
-    f"CASE WHEN page_id % 4 <> 0 THEN 'Cheia em '||page_id END, replace({_HOST},'www.',''), left(html,200)) AS x FROM pages)",
+    f"CASE WHEN page_id % 4 <> 0 THEN 'Cheia em '||page_id END, replace({_HOST},'www.',''), html) AS x FROM pages)",
 )
 def t16(spark, sf):
     p = table(spark, sf, "pages").select(

@@ -24,8 +24,10 @@ def any_victim(counts: Column) -> Column:
     return test
 
 
-def victims_in(norm: Column, words: dict[str, int] | None = None) -> Column:
-    """First count per label in normalised text; counts of 1000 and above read as 0.
+def victims_in(
+    norm: Column, words: dict[str, int] | None = None, limit: int | None = vocab.BODY_VICTIM_LIMIT
+) -> Column:
+    """First count per label in normalised text; counts from ``limit`` on read as 0 (None: as they are).
 
     A number is digits or a spelled-out number word. Matching the word in
     front of the noun gives what replacing all words by digits first would
@@ -35,14 +37,13 @@ def victims_in(norm: Column, words: dict[str, int] | None = None) -> Column:
     words = words or vocab.NUMBER_WORDS
     values = F.create_map(*[F.lit(x) for w, n in words.items() for x in (w, str(n))])
     number = rf"(\d+|\b(?:{'|'.join(words)}))"
-    limit = vocab.BODY_VICTIM_LIMIT
     counts = {}
     for label, pattern in vocab.BODY_VICTIM_PATTERNS.items():
         found = F.regexp_extract(norm, pattern.replace(r"(\d+)", number, 1), 1)
         count = T.once(
             found, lambda s: T.once(
                 F.coalesce(F.element_at(values, s), s).try_cast("bigint"),
-                lambda n: F.when(n < limit, n).otherwise(0),
+                lambda n: n if limit is None else F.when(n < limit, n).otherwise(0),
             ),
         )
         counts[label] = F.when(T.contains_any(norm, vocab.BODY_STEMS[label]), count).otherwise(0)

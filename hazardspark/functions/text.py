@@ -192,8 +192,10 @@ def safe_int(col: Column) -> Column:
     return F.coalesce(capped.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def safe_str(col: Column, length: int = 100) -> Column:
-    return F.substring(col.cast("string"), 1, length)
+def safe_str(col: Column, length: int | None = None) -> Column:
+    """As text; at most ``length`` characters where a target column demands it, whole by default."""
+    text = col.cast("string")
+    return text if length is None else F.substring(text, 1, length)
 
 
 def to_count(col: Column) -> Column:
@@ -287,10 +289,12 @@ def _count_of(col: Column, terms: list[str]) -> Column:
     return total
 
 
-def relevance_text(title: Column, link: Column, description: Column | None = None) -> Column:
-    """Title, host without ``www.`` and the first 200 characters of the description."""
+def relevance_text(
+    title: Column, link: Column, description: Column | None = None, description_chars: int | None = None
+) -> Column:
+    """Title, host without ``www.`` and the description, whole or its first ``description_chars`` characters."""
     parts = [title, F.replace(url_host(link), F.lit("www."), F.lit(""))]
     if description is not None:
-        parts.append(F.substring(description, 1, 200))
+        parts.append(description if description_chars is None else F.substring(description, 1, description_chars))
     joined = F.concat_ws(" ", *parts)
     return F.when(F.char_length(strip(joined)) > 0, joined).otherwise("no content")

@@ -83,9 +83,9 @@ def emdat_events(df: DataFrame, municipalities: DataFrame, centroids: DataFrame)
         T.safe_str(F.col("`Disaster Type`")).alias("type"),
         T.safe_str(F.coalesce(F.nullif(F.col("`Disaster Subtype`"), F.lit("")), F.lit("General flood"))).alias("subtype"),
         D.date_from_parts(F.col("`Start Year`"), F.col("`Start Month`"), F.col("`Start Day`")).alias("date"),
-        T.safe_int(F.col("`Start Year`")).cast("int").alias("year"),
-        part("`Start Month`").cast("int").alias("month"),
-        part("`Start Day`").cast("int").alias("day"),
+        T.safe_int(F.col("`Start Year`")).try_cast("int").alias("year"),
+        part("`Start Month`").try_cast("int").alias("month"),
+        part("`Start Day`").try_cast("int").alias("day"),
         F.lit("00:00-00:00").alias("hour"),
         "latitude", "longitude", "georef_class",
         T.safe_str(F.col("district")).alias("district"),
@@ -112,9 +112,9 @@ def eswd_events(df: DataFrame) -> DataFrame:
     """Severe-weather reports (see ``sources.catalogues.eswd`` for DATE and HOUR)."""
     detail = _text_or_null(df, "DETAILED_LOCATION")
     named = F.when(~F.lower(detail).isin("nan", "none", ""), detail)
-    count = lambda c: F.coalesce(column_or_null(df, c, "int").cast("int"), F.lit(0)).alias(c.lower())
-    lat = column_or_null(df, "LATITUDE", "double").cast("double")
-    lon = column_or_null(df, "LONGITUDE", "double").cast("double")
+    count = lambda c: F.coalesce(column_or_null(df, c, "int").try_cast("int"), F.lit(0)).alias(c.lower())
+    lat = column_or_null(df, "LATITUDE", "double").try_cast("double")
+    lon = column_or_null(df, "LONGITUDE", "double").try_cast("double")
     both = lat.isNotNull() & lon.isNotNull()
     return df.where(F.col("DATE").isNotNull()).select(
         F.lit("eswd").alias("catalogue"),
@@ -175,7 +175,7 @@ def feature_events(df: DataFrame, source: str = "feature-service", district_col:
 def report_events(df: DataFrame) -> DataFrame:
     """Historical reports (the ``pts`` shape); dates are day-first with part fallback."""
     text = lambda c: T.safe_str(F.coalesce(column_or_null(df, c), F.lit(""))).alias(c)
-    whole = lambda c: T.safe_int(column_or_null(df, c)).cast("int")
+    whole = lambda c: T.safe_int(column_or_null(df, c)).try_cast("int")
     return df.select(
         F.lit("reports").alias("catalogue"),
         text("type"), text("subtype"),
@@ -185,8 +185,8 @@ def report_events(df: DataFrame) -> DataFrame:
         ).alias("date"),
         whole("year").alias("year"), whole("month").alias("month"), whole("day").alias("day"),
         text("hour"),
-        F.coalesce(column_or_null(df, "latitude", "double").cast("double"), F.lit(0.0)).alias("latitude"),
-        F.coalesce(column_or_null(df, "longitude", "double").cast("double"), F.lit(0.0)).alias("longitude"),
+        F.coalesce(column_or_null(df, "latitude", "double").try_cast("double"), F.lit(0.0)).alias("latitude"),
+        F.coalesce(column_or_null(df, "longitude", "double").try_cast("double"), F.lit(0.0)).alias("longitude"),
         F.coalesce(F.nullif(whole("georef"), F.lit(0)), F.lit(1)).alias("georef_class"),
         text("district"), text("municipality"), text("parish"), text("dicofreg"),
         *[whole(v).alias(v) for v in VICTIMS],
@@ -222,6 +222,9 @@ COPIES_PER_TASK_ROW = 10_000
 def with_event_id(wide: DataFrame) -> DataFrame:
     """``id`` = md5 of the row's values and its ordinal among equal rows.
 
+    Every value is written with its length, a null as a dash, so that rows
+    that differ never read the same.
+
     The same input always gets the same ids, in any order and on any cluster.
     Equal rows are counted by an aggregate and re-expanded. A row with very
     many copies is expanded in blocks that are dealt out first, so no task
@@ -238,9 +241,8 @@ def with_event_id(wide: DataFrame) -> DataFrame:
     first = F.col("_block") * block + 1
     last = F.least(F.col("_n"), (F.col("_block") + 1) * block)
     rows = dealt.select(*columns, F.explode(F.sequence(first, last)).alias("_ordinal"))
-    text = F.concat_ws(
-        "|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns], F.col("_ordinal").cast("string")
-    )
+    sized = lambda c: F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    text = F.concat_ws("|", *[sized(F.col(f"`{c}`").cast("string")) for c in columns], F.col("_ordinal").cast("string"))
     return rows.select(F.md5(text.cast("binary")).alias("id"), *columns)
 
 
@@ -263,3 +265,9 @@ def split_rejects(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
     """Good rows and quarantined rows; one bad row never takes others with it."""
     ok = F.coalesce(valid, F.lit(False))
     return df.where(ok), df.where(~ok)
+
+
+def report_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reports that can be mapped, and those whose coordinates are given but are no numbers."""
+    readable = lambda c: column_or_null(df, c).isNull() | column_or_null(df, c).try_cast("double").isNotNull()
+    return split_rejects(df, readable("latitude") & readable("longitude"))

@@ -18,17 +18,19 @@ from hazardspark.session import cut_lineage
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # A null order value loses; it never makes the rank itself null, which would lose the key.
+    known = [(F.col(c).isNull() if pick is F.min_by else F.col(c).isNotNull()).alias(f"_k{i}") for i, c in enumerate(order)]
+    rank = F.struct(*[x for k, c in zip(known, order) for x in (k, F.col(c))])
     return df.groupBy(*keys).agg(pick(row, rank).alias("_row")).select("_row.*")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First row per key by ingest order; null keys are equal to each other."""
+    """First row per key by ingest order; null keys are equal to each other, a null order comes last."""
     return _pick(df, keys, order, F.min_by)
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Last row per key by load order (last write wins)."""
+    """Last row per key by load order (last write wins); a row with an order beats one without."""
     return _pick(df, keys, order, F.max_by)
 
 

@@ -163,12 +163,14 @@ def allocate(forecast: DataFrame, history: DataFrame) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------------
 
-MIN_ROWS, MIN_TRAIN, MIN_TEST = 20, 10, 5
-
-
-def fit_forecast(monthly: DataFrame, year: int, trees: int = 200, seed: int = 42) -> DataFrame:
+def fit_forecast(
+    monthly: DataFrame, year: int, trees: int = 200, seed: int = 42, min_rows: int = 20, min_train: int = 10, min_test: int = 5
+) -> DataFrame:
     """Random forest per type and its forecast of one year with error bounds.
 
+    A type with fewer than ``min_rows`` months is not forecast (``too_short`` lists
+    them); below ``min_train`` or ``min_test`` months a random fifth is the test.
+
     ``monthly`` is the aggregated series (a few hundred rows per type); the
     loop runs over hazard types, each fit is a Spark ML job.
     """
@@ -189,10 +191,10 @@ def fit_forecast(monthly: DataFrame, year: int, trees: int = 200, seed: int = 42
     future = forecast_grid(monthly, year)
     parts = []
     for kind, size in sorted(sizes.items()):
-        if size["train"] + size["test"] < MIN_ROWS:
+        if size["train"] + size["test"] < min_rows:
             continue
         rows = assembler.transform(frame.where(F.col("type") == kind))
-        if size["train"] < MIN_TRAIN or size["test"] < MIN_TEST:
+        if size["train"] < min_train or size["test"] < min_test:
             train, test = rows.randomSplit([0.8, 0.2], seed)
         else:
             train, test = rows.where("part = 'train'"), rows.where("part = 'test'")
@@ -219,3 +221,9 @@ def fit_forecast(monthly: DataFrame, year: int, trees: int = 200, seed: int = 42
         *[c.alias(n) for n, c in interval(F.col("prediction"), F.col("model_mae")).items()],
         "model_r2", "model_mae",
     )
+
+
+def too_short(monthly: DataFrame, min_rows: int = 20) -> DataFrame:
+    """Types that ``fit_forecast`` leaves out, with the months they have."""
+    months = model_frame(monthly).groupBy("type").agg(F.count(F.lit(1)).alias("months"))
+    return months.where(F.col("months") < min_rows).select("type", "months", F.lit("too few months").alias("status"))

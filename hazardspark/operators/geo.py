@@ -190,13 +190,23 @@ def places_in_text(
     and survivors are verified against the whole text, so no text is compared
     with every name. A gazetteer below the size bound is broadcast and the
     verification happens in the same pass; a larger one joins grams without
-    the text and fetches the texts of the candidates by ``doc_id`` (unique).
+    the text and fetches the texts of the candidates by id and text hash. The
+    rows are the same either way: one per id, text and place, null ids and
+    repeated rows included.
     """
+    return _places_by_text(docs, doc_id, text, places, name, rank).select(doc_id, rank, "place")
+
+
+def _text_key(text: str) -> Column:
+    return F.xxhash64(T.normalize(F.col(text)))
+
+
+def _places_by_text(docs: DataFrame, doc_id: str, text: str, places: DataFrame, name: str, rank: str) -> DataFrame:
     named = places.select(
         T.normalize(F.col(name)).alias("_name"), F.col(rank), F.col(name).alias("place")
     ).where(F.length("_name") > 0)
     anchors = _anchors(named.select("_name").distinct())
-    texts = docs.select(F.col(doc_id), T.normalize(F.col(text)).alias("_text"))
+    texts = docs.select(F.col(doc_id), T.normalize(F.col(text)).alias("_text")).withColumn("_key", F.xxhash64("_text"))
     # Texts yield grams only of the sizes that anchor some name.
     all_grams = F.concat(
         *[
@@ -207,23 +217,24 @@ def places_in_text(
     )
     if estimated_bytes(places) <= SMALL_GAZETTEER_BYTES:
         hits = (
-            texts.select(doc_id, "_text", F.explode(all_grams).alias("_gram"))
+            texts.select(doc_id, "_key", "_text", F.explode(all_grams).alias("_gram"))
             .join(F.broadcast(anchors), "_gram")
             .where(F.contains("_text", F.col("_name")))
-            .select(doc_id, "_name")
+            .select(doc_id, "_key", "_name").distinct()
         )
     else:
         candidates = (
-            texts.select(doc_id, F.explode(all_grams).alias("_gram"))
+            texts.select(F.col(doc_id).alias("_id"), F.col("_key").alias("_of"), F.explode(all_grams).alias("_gram"))
             .join(anchors, "_gram")
-            .select(doc_id, "_name")
+            .select("_id", "_of", "_name").distinct()
         )
+        unique = texts.dropDuplicates([doc_id, "_key"])
         hits = (
-            candidates.join(texts, doc_id)
+            candidates.join(unique, F.col("_id").eqNullSafe(unique[doc_id]) & (F.col("_of") == unique["_key"]))
             .where(F.contains("_text", F.col("_name")))
-            .select(doc_id, "_name")
+            .select(doc_id, "_key", "_name")
         )
-    return hits.join(named, "_name").select(doc_id, rank, "place")
+    return hits.join(named, "_name").select(doc_id, "_key", rank, "place")
 
 
 def first_place_in_text(
@@ -231,11 +242,12 @@ def first_place_in_text(
 ) -> DataFrame:
     """Docs with ``place``: the lowest-ranked gazetteer name contained in the text, else null."""
     first = (
-        places_in_text(docs, doc_id, text, places, name, rank)
-        .groupBy(doc_id)
+        _places_by_text(docs, doc_id, text, places, name, rank)
+        .groupBy(F.col(doc_id).alias("_id"), F.col("_key").alias("_of"))
         .agg(F.min_by("place", rank).alias("place"))
     )
-    return docs.join(first, doc_id, "left")
+    same = docs[doc_id].eqNullSafe(first["_id"]) & (_text_key(text) == first["_of"])
+    return docs.join(first, same, "left").select(*[docs[c] for c in docs.columns], "place")
 
 
 def verified_location(df: DataFrame, place: Column, district: Column) -> DataFrame:

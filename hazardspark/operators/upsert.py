@@ -20,13 +20,15 @@ def upsert(
 
     New keys insert the whole source row; known keys take only
     ``update_cols`` (default: all columns but the key). ``order`` ranks source
-    rows of one key, the last wins. ``updated_at`` is stamped on changed rows.
-    Both sides are unique on the key, so the full join cannot skew.
+    rows of one key, the last wins; without it the greatest row does, so a key
+    is inserted once either way. A source row without a key is left out.
+    ``updated_at`` is stamped on changed rows. Both sides are unique on the
+    key, so the full join cannot skew.
     """
     columns = target.columns
     update = set(update_cols if update_cols is not None else [c for c in columns if c != key])
-    if order:
-        source = keep_last(source, [key], order)
+    source = source.where(F.col(key).isNotNull())
+    source = keep_last(source, [key], order or [c for c in source.columns if c != key])
     s = source.select(
         F.struct(*[F.col(c) if c in source.columns else F.lit(None).alias(c)
                    for c in columns]).alias("_s"),

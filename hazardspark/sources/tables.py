@@ -64,21 +64,6 @@ def jdbc_table(
     return spark.read.jdbc(url, table, properties=properties)
 
 
-SMALL_TASK_BYTES = 32 * 1024 * 1024
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that is too small to fill its splits.
-
-    A table below 32 MB per core is dealt out evenly; it is small, so the
-    shuffle is. A larger one already has a split per task and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) >= cores * SMALL_TASK_BYTES:
-        return df
-    return df.repartition(cores)
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the result; no job runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

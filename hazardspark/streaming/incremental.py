@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardspark.operators.dedupe import keep_last
 from hazardspark.operators.upsert import upsert
 
 
@@ -43,12 +44,14 @@ def dedupe_run(stream: DataFrame, keys: list[str], time: str, delay: str, out: s
 
 def upsert_run(
     stream: DataFrame, table: str, key: str, order: list[str], checkpoint: str,
-    update_cols: list[str] | None = None,
+    update_cols: list[str] | None = None, keep: int = 2,
 ) -> None:
     """Merge every micro-batch into a versioned table.
 
     Batch n writes ``table/v=n`` from the newest version below n, so a batch
-    repeated after a failure writes the same version again.
+    repeated after a failure writes the same version again. A row that comes
+    late does not replace a row with a greater ``order``. Of the versions
+    below n, the newest ``keep`` stay.
     """
     spark = stream.sparkSession
     columns = stream.columns
@@ -56,8 +59,10 @@ def upsert_run(
     def merge(batch: DataFrame, batch_id: int) -> None:
         before = latest(spark, table, below=batch_id)
         target = before if before is not None else batch.select(*columns).limit(0)
-        merged = upsert(target, batch, key, update_cols, order)
+        changed = None if update_cols is None else [*update_cols, *(c for c in order if c not in update_cols)]
+        merged = upsert(target, _not_late(batch, target, key, order), key, changed, order)
         merged.write.mode("overwrite").parquet(f"{table}/v={batch_id:09d}")
+        expire(spark, table, batch_id, keep)
 
     query = (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -66,18 +71,39 @@ def upsert_run(
     query.awaitTermination()
 
 
-def latest(spark: SparkSession, table: str, below: int | None = None) -> DataFrame | None:
-    """Newest completed version of a table (optionally below a batch number)."""
+def _not_late(batch: DataFrame, target: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Rows of the batch whose order is not below that of the row the table has."""
+    known = target.select(F.col(key).alias("_key"), F.struct(*order).alias("_order"))
+    newest = keep_last(batch, [key], order)
+    joined = newest.join(known, newest[key] == known["_key"], "left")
+    return joined.where(F.col("_order").isNull() | (F.struct(*order) >= F.col("_order"))).select(*batch.columns)
+
+
+def versions(spark: SparkSession, table: str) -> list[int]:
+    """Completed versions of a table."""
     path = spark._jvm.org.apache.hadoop.fs.Path(table)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return None
+        return []
     done = []
     for status in fs.listStatus(path):
-        name = status.getPath().getName()
         marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(marker):
-            done.append(int(name[2:]))
+        if status.getPath().getName().startswith("v=") and fs.exists(marker):
+            done.append(int(status.getPath().getName()[2:]))
+    return sorted(done)
+
+
+def expire(spark: SparkSession, table: str, version: int, keep: int) -> None:
+    """Delete the completed versions below ``version`` but the newest ``keep``."""
+    below = [v for v in versions(spark, table) if v < version]
+    for old in below[: max(0, len(below) - keep)]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v={old:09d}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def latest(spark: SparkSession, table: str, below: int | None = None) -> DataFrame | None:
+    """Newest completed version of a table (optionally below a batch number)."""
+    done = versions(spark, table)
     done = [v for v in done if below is None or v < below]
     return spark.read.parquet(f"{table}/v={max(done):09d}") if done else None
 
@@ -108,6 +134,7 @@ def daily_counts_run(
         before = latest(spark, table, below=batch_id)
         merged = batch if before is None else upsert(before, batch, "key")
         merged.write.mode("overwrite").parquet(f"{table}/v={batch_id:09d}")
+        expire(spark, table, batch_id, keep=2)
 
     query = (
         daily.writeStream.outputMode("update").foreachBatch(merge)

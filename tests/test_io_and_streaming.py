@@ -94,6 +94,7 @@ def _files(spark, path, parts):
 PARTS = [
     [("a", 1, "2025-01-01 10:00:00"), ("b", 1, "2025-01-02 10:00:00")],
     [("a", 2, "2025-01-03 10:00:00"), ("a", 3, "2025-01-03 11:00:00"), ("c", 1, "2025-02-01 00:00:00")],
+    [("a", 9, "2025-01-01 09:00:00")],
 ]
 
 
@@ -109,9 +110,9 @@ def test_streams_equal_batch(spark, tmp_path):
         inc.upsert_run(stream(), path("table"), "id", ["ts"], path("table-state"))
         inc.daily_counts_run(stream(), "ts", "id", "60 days", path("days"), path("days-state"))
     batch = spark.read.parquet(src)
-    assert spark.read.parquet(path("all")).count() == 5
+    assert spark.read.parquet(path("all")).count() == 6
     assert sorted(r["id"] for r in spark.read.parquet(path("unique")).collect()) == ["a", "b", "c"]
     want = sorted((r["id"], r["n"]) for r in keep_last(batch, ["id"], ["ts"]).collect())
     assert sorted((r["id"], r["n"]) for r in inc.latest(spark, path("table")).collect()) == want
     months = inc.monthly_from_days(inc.latest(spark, path("days")), "id")
-    assert sorted((r["month"], r["id"], r["ocorrencias"]) for r in months.collect()) == [(1, "a", 3), (1, "b", 1), (2, "c", 1)]
+    assert sorted((r["month"], r["id"], r["ocorrencias"]) for r in months.collect()) == [(1, "a", 4), (1, "b", 1), (2, "c", 1)]

@@ -173,12 +173,47 @@ def test_places_in_text_equals_substring_search(spark):
     fold = lambda s: unicodedata.normalize("NFKD", s.lower()).encode("ascii", "ignore").decode().strip()
     want = sorted((i, n) for i, t in enumerate(texts) for n in names if fold(n) in fold(t))
     assert rows(geo.places_in_text(docs, "id", "text", places, "name", "rank"), "id", "place") == want
-    small = geo.SMALL_GAZETTEER_BYTES
-    try:
-        geo.SMALL_GAZETTEER_BYTES = 0
-        assert rows(geo.places_in_text(docs, "id", "text", places, "name", "rank"), "id", "place") == want
-    finally:
-        geo.SMALL_GAZETTEER_BYTES = small
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 60])
+def test_places_do_not_depend_on_the_gazetteer_size(spark, tmp_path, monkeypatch, bound):
+    """Null and repeated ids, at a bound below and above the size of a gazetteer that is read from a file."""
+    monkeypatch.setattr(geo, "SMALL_GAZETTEER_BYTES", bound)
+    docs = spark.createDataFrame(
+        [("d", "porto lisboa"), ("d", "porto braga"), ("d", "porto braga"), (None, "porto"), (None, None), ("e", "x" * 300 + " Braga")], "id string, text string"
+    )
+    spark.createDataFrame([(1, "Lisboa"), (2, "Porto"), (3, "Braga")], "rank int, name string").write.parquet(str(tmp_path / "g"))
+    places = spark.read.parquet(str(tmp_path / "g"))
+    got = sorted((r["id"] or "", r["place"]) for r in geo.places_in_text(docs, "id", "text", places, "name", "rank").collect())
+    assert got == [("", "Porto"), ("d", "Braga"), ("d", "Lisboa"), ("d", "Porto"), ("d", "Porto"), ("e", "Braga")]
+    first = sorted((r["id"] or "", r["text"] or "", r["place"] or "") for r in geo.first_place_in_text(docs, "id", "text", places, "name", "rank").collect())
+    assert first == [
+        ("", "", ""), ("", "porto", "Porto"), ("d", "porto braga", "Porto"), ("d", "porto braga", "Porto"), ("d", "porto lisboa", "Lisboa"), ("e", "x" * 300 + " Braga", "Braga"),
+    ]
+
+
+def test_null_order_loses_but_keeps_its_key(spark):
+    df = spark.createDataFrame([("a", None, 1), ("b", None, 2), ("b", 5, 3), ("c", 4, 4), ("c", 9, 5)], "k string, o int, v int")
+    assert rows(dedupe.keep_first(df, ["k"], ["o"]), "k", "v") == [("a", 1), ("b", 3), ("c", 4)]
+    assert rows(dedupe.keep_last(df, ["k"], ["o"]), "k", "v") == [("a", 1), ("b", 3), ("c", 5)]
+
+
+def test_upsert_without_order_keeps_keys_unique(spark):
+    target = spark.createDataFrame([("a", 1)], "id string, n int")
+    source = spark.createDataFrame([("a", 2), ("a", 3), ("b", 4), ("b", 5), (None, 6)], "id string, n int")
+    assert rows(upsert(target, source, "id"), "id", "n") == [("a", 3), ("b", 5)]
+
+
+def test_event_ids_tell_nulls_and_separators_apart(spark):
+    df = spark.createDataFrame([("x", None), ("x", ""), ("a|b", "c"), ("a", "b|c"), ("-", None), (None, "-")], "p string, q string")
+    assert catalog.with_event_id(df).select("id").distinct().count() == 6
+
+
+def test_an_unreadable_report_takes_no_others_with_it(spark):
+    df = spark.createDataFrame([("1", "38.5"), ("2", "n/a"), ("3", None)], "type string, latitude string")
+    good, bad = catalog.report_quarantine(df)
+    assert rows(good, "type") == [("1",), ("3",)] and rows(bad, "type") == [("2",)]
+    assert rows(catalog.report_events(df), "type", "latitude") == [("1", 38.5), ("2", 0.0), ("3", 0.0)]
 
 
 def test_locate_prefers_the_most_precise_level(spark):
