@@ -69,9 +69,9 @@ def a6(spark, sf):
     return report.bounds(fr.impacts(spark, sf), "fatalities").withColumn("axis_bound", F.round("axis_bound", 4))
 
 
-@check("a7_yearly_total_by_type", fr.texts(fr.MON) + "SELECT type, sum(ocorrencias)::BIGINT AS ocorrencias FROM mon WHERE year = 2000 GROUP BY type")
+@check("a7_yearly_total_by_type", fr.texts(fr.MON) + "SELECT year, type, sum(ocorrencias)::BIGINT AS ocorrencias FROM mon GROUP BY year, type")
 def a7(spark, sf):
-    return fr.monthly(spark, sf).where("year = 2000").groupBy("type").agg(F.sum("ocorrencias").alias("ocorrencias"))
+    return fr.monthly(spark, sf).groupBy("year", "type").agg(F.sum("ocorrencias").alias("ocorrencias"))
 
 
 @check("a8_mean_point", NEWS + "SELECT district, type, round(avg(latitude),4) AS latitude, round(avg(longitude),4) AS longitude FROM ne GROUP BY ALL")
@@ -276,9 +276,9 @@ def m8(spark, sf):
 
 @check(
     "m9_annual_allocation",
-    fr.texts(fr.DIS, fr.LOC) + f", {_NEWS}, mon AS (SELECT {_KIND} AS type, count(*) AS ocorrencias FROM dis WHERE year = 2000 GROUP BY 1), c AS (SELECT district, type, count(*) AS count, avg(latitude) AS lat, avg(longitude) AS lon FROM ne WHERE district <> '' GROUP BY ALL) "
+    fr.texts(fr.DIS, fr.LOC) + f", {_NEWS}, mon AS (SELECT {_KIND} AS type, count(*) AS ocorrencias FROM dis GROUP BY 1), c AS (SELECT district, type, count(*) AS count, avg(latitude) AS lat, avg(longitude) AS lon FROM ne WHERE district <> '' GROUP BY ALL) "
     "SELECT c.district, c.type, count, round_even(ocorrencias::DOUBLE*count/sum(count) OVER (PARTITION BY c.type),0)::BIGINT AS predicted_occurrences, round(lat,4) AS latitude, round(lon,4) AS longitude FROM c JOIN mon ON mon.type = c.type",
 )
 def m9(spark, sf):
-    out = forecast.allocate(fr.monthly(spark, sf).where("year = 2000"), report.clean_occurrences(_news_events(spark, sf)))
+    out = forecast.allocate(fr.monthly(spark, sf), report.clean_occurrences(_news_events(spark, sf)))
     return out.select("district", "type", "count", "predicted_occurrences", F.round("latitude", 4).alias("latitude"), F.round("longitude", 4).alias("longitude"))

@@ -25,19 +25,19 @@ def _stamp():
 
 @check(
     "j1_impacts_and_location",
-    fr.texts(fr.DIS, fr.IMP, fr.LOC) + "SELECT dis.id, dis.type, coalesce(fatalities,0)::BIGINT AS fatalities, district FROM dis LEFT JOIN imp USING (id) LEFT JOIN loc ON loc.id = dis.id AND latitude > 0",
+    fr.texts(fr.DIS, fr.IMP, fr.LOC) + "SELECT dis.id, dis.type, coalesce(fatalities,0)::BIGINT AS fatalities, district FROM dis LEFT JOIN imp USING (id) LEFT JOIN loc ON loc.id = dis.id",
 )
 def j1(spark, sf):
-    loc = fr.locations(spark, sf).where("latitude > 0")
+    loc = fr.locations(spark, sf)
     return report.with_impacts(fr.disasters(spark, sf), fr.impacts(spark, sf), loc).select("id", "type", "fatalities", "district")
 
 
 @check(
     "j2_mapped_disasters",
-    fr.texts(fr.DIS, fr.LOC) + f"SELECT id, latitude, longitude, {fr.title_sql('trim(district)')} AS district, {fr.title_sql('municipality')} AS municipality FROM dis JOIN loc USING (id) WHERE latitude IS NOT NULL",
+    fr.texts(fr.DIS, fr.LOC) + f"SELECT id, latitude, longitude, {fr.title_sql('trim(district)')} AS district, {fr.title_sql('municipality')} AS municipality FROM dis JOIN loc USING (id)",
 )
 def j2(spark, sf):
-    loc = fr.locations(spark, sf).where("latitude IS NOT NULL")
+    loc = fr.locations(spark, sf)
     return report.mapped(fr.disasters(spark, sf), loc).select("id", "latitude", "longitude", "district", "municipality")
 
 
@@ -162,12 +162,12 @@ def j8(spark, sf):
 
 @check(
     "j9_allocation_join",
-    ART + ", h AS (SELECT district, type, count(*) AS count, avg(n) AS m FROM art WHERE l_linenumber <> 7 GROUP BY 1,2), f AS (SELECT type, sum(n)::BIGINT AS ocorrencias FROM art WHERE type <> 'Storm' GROUP BY 1) "
+    ART + ", h AS (SELECT district, type, count(*) AS count, avg(n) AS m FROM art GROUP BY 1,2), f AS (SELECT type, sum(n)::BIGINT AS ocorrencias FROM art WHERE type <> 'Storm' GROUP BY 1) "
     "SELECT h.district, h.type, count, ocorrencias, round(m,4) AS mean_n FROM h LEFT JOIN f ON h.type = f.type WHERE m IS NOT NULL",
 )
 def j9(spark, sf):
     a = fr.articles(spark, sf).select("district", "type", "n", "l_linenumber")
-    h = a.where("l_linenumber <> 7").groupBy("district", "type").agg(F.count(F.lit(1)).alias("count"), F.round(F.avg("n"), 4).alias("mean_n"))
+    h = a.groupBy("district", "type").agg(F.count(F.lit(1)).alias("count"), F.round(F.avg("n"), 4).alias("mean_n"))
     f = a.where("type <> 'Storm'").groupBy("type").agg(F.sum("n").alias("ocorrencias"))
     return h.join(f, "type", "left").dropna(subset=["mean_n"]).select("district", "type", "count", "ocorrencias", "mean_n")
 

@@ -220,10 +220,10 @@ def k1(spark, sf):
 @check(
     "k1_disaster_ready",
     ART + "SELECT ID, title, date, type, subtype, district, municipali, parish, DICOFREG AS dicofreg, hour, source, '' AS link_extraido, " + ", ".join(f"{v}::VARCHAR AS {v}" for v in VICTIMS)
-    + f", sourcetype FROM art WHERE l_tax < 0.05 AND greatest({','.join(VICTIMS)}) > 0",
+    + f", sourcetype FROM art WHERE greatest({','.join(VICTIMS)}) > 0",
 )
 def k1b(spark, sf):
-    a = fr.articles(spark, sf).where("l_tax < 0.05").withColumnRenamed("DICOFREG", "dicofreg")
+    a = fr.articles(spark, sf).withColumnRenamed("DICOFREG", "dicofreg")
     return files.disaster_ready(a).select(*DISASTER_READY_CSV)
 
 
