@@ -514,7 +514,7 @@ def publication_main(spark, sf):
 
 @check(
     "k6_typed_staging",
-    ART + "SELECT ID, date, fatalities, relevance_score, DICOFREG, district FROM (SELECT ID, CASE l_linenumber%3 WHEN 0 THEN date WHEN 1 THEN strftime(day_date,'%d/%m/%Y') END AS date, fatalities, (l_linenumber%4)::FLOAT AS relevance_score, DICOFREG::FLOAT AS DICOFREG, CASE WHEN l_linenumber=4 THEN '' ELSE district END AS district FROM art) WHERE date IS NOT NULL",
+    ART + "SELECT ID, date, fatalities, relevance_score, DICOFREG, district FROM (SELECT ID, CASE l_linenumber%3 WHEN 0 THEN date WHEN 1 THEN strftime(day_date,'%d/%m/%Y') END AS date, fatalities, (l_linenumber%4)::FLOAT AS relevance_score, DICOFREG, CASE WHEN l_linenumber=4 THEN '' ELSE district END AS district FROM art) WHERE date IS NOT NULL",
 )
 def k6(spark, sf):
     a = fr.articles(spark, sf)

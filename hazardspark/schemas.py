@@ -87,11 +87,11 @@ DISASTER_READY_CSV = [
 ]
 
 
-def staging_type(name: str) -> T.DataType:
-    """Staging column type from the column name alone."""
+def staging_type(name: str, numeric_codes: bool = False) -> T.DataType:
+    """Staging column type from the column name alone; a parish code is text unless ``numeric_codes``."""
     if name in VICTIMS or name in ("year", "month", "day"):
         return T.IntegerType()
-    if name in ("relevance_score", "DICOFREG"):
+    if name == "relevance_score" or name == "DICOFREG" and numeric_codes:
         return T.FloatType()
     return T.StringType()
 

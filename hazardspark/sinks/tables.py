@@ -19,12 +19,13 @@ def staging_name(day: str | dt.date) -> str:
     return f"artigos_filtrados_{str(day).replace('-', '')}_staging"
 
 
-def staging_frame(df: DataFrame, stamp: Column) -> DataFrame:
+def staging_frame(df: DataFrame, stamp: Column, numeric_codes: bool = False) -> DataFrame:
     """Typed staging rows.
 
     The id comes from original_id, google_id, ID or id; dates become DD/MM/YYYY
     and rows without one go; counts default to 0; 'nan' and 'None' are missing.
-    Types follow the column names.
+    Types follow the column names. Parish codes stay text, so that ``010101``
+    still meets the centroids; ``numeric_codes`` makes them floats.
     """
     out = df
     source_id = next((c for c in ("original_id", "google_id", "ID", "id") if c in df.columns), None)
@@ -35,7 +36,7 @@ def staging_frame(df: DataFrame, stamp: Column) -> DataFrame:
         out = out.withColumn("date", D.to_dmy_text(F.col("date"))).where(F.col("date").isNotNull())
     typed = {}
     for field in out.schema.fields:
-        name, kind = field.name, schemas.staging_type(field.name)
+        name, kind = field.name, schemas.staging_type(field.name, numeric_codes)
         col = F.col(f"`{name}`")
         if isinstance(field.dataType, T_.ArrayType):
             typed[name] = F.array_join(col, ",")
