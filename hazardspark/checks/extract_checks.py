@@ -11,7 +11,7 @@ from hazardspark.checks.base import check, documents, table
 from hazardspark.checks.text_checks import _SLUG, _words_sql, fold
 from hazardspark.functions import extract as X
 from hazardspark.functions import text as T
-from hazardspark.operators import dedupe, filters, geo
+from hazardspark.operators import dedupe, filters, geo, report
 from hazardspark.schemas import VICTIMS
 from hazardspark.sources import gazetteer
 
@@ -265,9 +265,11 @@ def x9(spark, sf):
     return a.select("seq", "g.passes", F.array_join(label, ",").alias("matches"))
 
 
+# The number as the title shows it: spelled out or in figures.
+_SHOWN = f"(CASE WHEN l_linestatus = 'F' THEN {fr._case_sql('n', fr.WORDS, 'n::VARCHAR')} ELSE n::VARCHAR END)"
 _SPAN_SQL = (
     "SELECT title AS text, label, length(term||' em '||district||': ')::INTEGER AS start, "
-    "(length(term||' em '||district||': ')+length(n::VARCHAR))::INTEGER AS stop, n::VARCHAR AS span, seq FROM art WHERE l_linestatus <> 'F' OR n > 3"
+    f"(length(term||' em '||district||': ')+length({_SHOWN}))::INTEGER AS stop, n, seq FROM art"
 )
 
 
@@ -275,33 +277,17 @@ _SPAN_SQL = (
     "x10_extractor_quality",
     ART + f", s AS ({_SPAN_SQL}), e AS (SELECT seq, {title_counts_sql('lower(text)')} FROM s), "
     "lab AS (SELECT * FROM e UNPIVOT (guess FOR label IN (fatalities, injured, evacuated, displaced, missing))), "
-    "j AS (SELECT lab.label, lab.guess, CASE WHEN s.label = lab.label THEN s.span::INTEGER ELSE 0 END AS truth FROM lab JOIN s USING (seq)) "
+    "j AS (SELECT lab.label, lab.guess, CASE WHEN s.label = lab.label THEN s.n::INTEGER ELSE 0 END AS truth FROM lab JOIN s USING (seq)) "
     "SELECT upper(label) AS label, count_if(truth > 0)::BIGINT AS n_true, count_if(guess > 0)::BIGINT AS n_found, count_if(guess > 0 AND guess = truth)::BIGINT AS n_right, "
     "round(count_if(guess > 0 AND guess = truth)/nullif(count_if(guess > 0),0),4) AS precision, round(count_if(guess > 0 AND guess = truth)/nullif(count_if(truth > 0),0),4) AS recall "
     "FROM j GROUP BY label",
 )
 def x10(spark, sf):
     """Labelled spans sliced by offset against the title extractor, per label."""
-    a = fr.articles(spark, sf).where((F.col("l_linestatus") != "F") | (F.col("n") > 3))
+    a = fr.articles(spark, sf)
+    figures = F.col("n").cast("string")
+    shown = F.when(F.col("l_linestatus") == "F", fr._case(F.col("n"), fr.WORDS, figures)).otherwise(figures)
     start = F.length(F.concat("term", F.lit(" em "), "district", F.lit(": ")))
-    entity = F.struct(start.alias("start"), (start + F.length(F.col("n").cast("string"))).alias("end"), F.upper("label").alias("label"))
+    entity = F.struct(start.alias("start"), (start + F.length(shown)).alias("end"), F.upper("label").alias("label"))
     spans = gazetteer.explode_spans(a.select("title", F.array(entity).alias("entities")).withColumnRenamed("title", "text"))
-    return span_quality(spans)
-
-
-def span_quality(spans: DataFrame) -> DataFrame:
-    """Precision and recall per label of the title extractor over labelled spans."""
-    rows = spans.select(
-        F.col("label").alias("true_label"), F.col("span").try_cast("int").alias("value"),
-        X.title_victims(F.col("text")).alias("v"),
-    )
-    stacked = rows.select(
-        "true_label", "value",
-        F.explode(F.array(*[F.struct(F.lit(v.upper()).alias("label"), F.col(f"v.{v}").alias("guess")) for v in VICTIMS])).alias("g"),
-    ).select("g.*", F.when(F.col("true_label") == F.col("g.label"), F.col("value")).otherwise(0).alias("truth"))
-    right = F.count_if((F.col("guess") > 0) & (F.col("guess") == F.col("truth")))
-    n_true, n_found = F.count_if(F.col("truth") > 0), F.count_if(F.col("guess") > 0)
-    return stacked.groupBy("label").agg(
-        n_true.alias("n_true"), n_found.alias("n_found"), right.alias("n_right"),
-        F.round(F.try_divide(right, n_found), 4).alias("precision"), F.round(F.try_divide(right, n_true), 4).alias("recall"),
-    )
+    return report.span_quality(spans)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.functions import dates as D
+from hazardspark.functions import extract as X
 from hazardspark.functions import text as T
 from hazardspark.operators import filters
 from hazardspark.schemas import VICTIMS
@@ -226,3 +227,22 @@ def confirmed_share(
     return reports.join(confirming, [district, date, victims], "left").withColumn(
         "confirmed", F.coalesce("confirmed", F.lit(False))
     )
+
+
+def span_quality(spans: DataFrame) -> DataFrame:
+    """Precision and recall per label of the title extractor over labelled spans, spelled-out numbers included."""
+    words = F.create_map(*[F.lit(x) for pair in (vocab.NUMBER_WORDS | vocab.TITLE_NUMBER_WORDS).items() for x in pair])
+    rows = spans.select(
+        F.col("label").alias("true_label"), F.coalesce(F.col("span").try_cast("int"), F.try_element_at(words, F.lower("span"))).alias("value"),
+        X.title_victims(F.col("text")).alias("v"),
+    )
+    stacked = rows.select(
+        "true_label", "value",
+        F.explode(F.array(*[F.struct(F.lit(v.upper()).alias("label"), F.col(f"v.{v}").alias("guess")) for v in VICTIMS])).alias("g"),
+    ).select("g.*", F.when(F.col("true_label") == F.col("g.label"), F.col("value")).otherwise(0).alias("truth"))
+    right = F.count_if((F.col("guess") > 0) & (F.col("guess") == F.col("truth")))
+    n_true, n_found = F.count_if(F.col("truth") > 0), F.count_if(F.col("guess") > 0)
+    return stacked.groupBy("label").agg(
+        n_true.alias("n_true"), n_found.alias("n_found"), right.alias("n_right"),
+        F.round(F.try_divide(right, n_found), 4).alias("precision"), F.round(F.try_divide(right, n_true), 4).alias("recall"),
+    )
