@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.checks.base import table
+from hazardspark.checks.base import on_all_cores, table
 from hazardspark.functions import text as T
 
 TERMS = [
@@ -53,6 +53,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
+    l = on_all_cores(l)
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
