@@ -264,6 +264,28 @@ _NEXT = re.compile(rb"\xff[^\x00\xd0-\xd7\xff]")
 _RESTARTS = re.compile(rb"\xff[\xd0-\xd7]")
 
 
+@lru_cache(maxsize=64)
+def quantisers(body: bytes) -> dict[int, np.ndarray]:
+    """Quantisation tables of a segment by number."""
+    out = {}
+    while body:
+        n = 128 if body[0] >> 4 else 64
+        out[body[0] & 15] = np.frombuffer(body[1 : 1 + n], ">u2" if n == 128 else np.uint8).astype(float)
+        body = body[1 + n :]
+    return out
+
+
+@lru_cache(maxsize=64)
+def code_specs(body: bytes) -> dict[int, tuple[bytes, bytes]]:
+    """Huffman codes of a segment by class and number: how many codes of each length, and their symbols."""
+    out = {}
+    while body:
+        n = sum(body[1:17])
+        out[body[0]] = (body[1:17], body[17 : 17 + n])
+        body = body[17 + n :]
+    return out
+
+
 class File:
     """What a file's markers say, and its coefficients (zigzag) by component."""
 
@@ -281,16 +303,9 @@ class File:
             if marker == 0xFE:
                 self.comment = body
             elif marker == 0xDB:
-                while body:
-                    wide = body[0] >> 4
-                    n = 128 if wide else 64
-                    self.quant[body[0] & 15] = np.frombuffer(body[1 : 1 + n], ">u2" if wide else np.uint8).astype(float)
-                    body = body[1 + n :]
+                self.quant |= quantisers(body)
             elif marker == 0xC4:
-                while body:
-                    n = sum(body[1:17])
-                    codes[body[0]] = (body[1:17], body[17 : 17 + n])
-                    body = body[17 + n :]
+                codes |= code_specs(body)
             elif marker == 0xDD:
                 self.restart = struct.unpack(">H", body)[0]
             elif marker == 0xC2:
@@ -521,25 +536,49 @@ def decode(media: list[bytes]) -> list[tuple[bytes, np.ndarray, np.ndarray]]:
                 begin += n
             reader = read_ac_refining if high else read_ac
             reader(out, view, p, blocks, np.array(cur), np.array(end), first, last, low, _codes(tables[0]).table)
-    return [(f.comment, out[f.at : f.at + f.n_blocks], tensor(f, out)) for f in files]
+    values = samples(files, out)
+    return [(f.comment, out[f.at : f.at + f.n_blocks], tensor(f, values)) for f in files]
+
+
+def samples(files: list[File], coefficients: np.ndarray) -> np.ndarray:
+    """The 64 samples of every block: dequantised, inverse-transformed in whole numbers, a few thousand blocks at a time."""
+    scale = None
+    if any((f.quant[q] != 1).any() for f in files for _, _, _, q in f.parts.values()):
+        scale = np.concatenate([np.broadcast_to(f.quant[q], (n, 64)) for f in files for n, q in zip(np.diff(f.first), (p[3] for p in sorted(f.parts.values())))])
+    out = np.empty(coefficients.shape, np.uint8)
+    for k in range(0, len(out), 4096):
+        part = coefficients[k : k + 4096].astype(float)
+        if scale is not None:
+            part *= scale[k : k + 4096]
+        part = part @ _BASIS
+        part += 32768 + (128 << 16)
+        np.floor_divide(part, 65536, out=part)
+        out[k : k + 4096] = part.clip(0, 255, out=part)
+    return out
 
 
-def tensor(f: File, coefficients: np.ndarray) -> np.ndarray:
-    """Full-resolution RGB of a file: inverse transform, chroma repeated, colours converted, all in whole numbers."""
+def tensor(f: File, values: np.ndarray) -> np.ndarray:
+    """Full-resolution RGB of a file from its blocks' samples; chroma samples are repeated, in whole numbers throughout."""
     planes = []
-    for i, h, v, q in sorted(f.parts.values()):
+    for i, h, v, _ in sorted(f.parts.values()):
         rows, cols = f.shape[i]
-        scaled = coefficients[f.first[i] : f.first[i + 1]].astype(float) * f.quant[q]
-        samples = (np.floor((scaled @ _BASIS + 32768) / 65536) + 128).clip(0, 255).astype(np.int32)
-        plane = samples.reshape(rows, cols, 8, 8).swapaxes(1, 2).reshape(8 * rows, 8 * cols)
-        planes.append(plane.repeat(f.v // v, axis=0).repeat(f.h // h, axis=1)[: f.height, : f.width])
+        plane = values[f.first[i] : f.first[i + 1]].reshape(rows, cols, 8, 8).swapaxes(1, 2).reshape(8 * rows, 8 * cols)
+        planes.append((plane, f.v // v, f.h // h))
     if len(planes) == 1:
-        return planes[0][:, :, None].repeat(3, axis=2).astype(np.uint8)
-    y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
-    red = y + (91881 * cr + 32768 >> 16)
-    green = y - (22554 * cb + 46802 * cr + 32768 >> 16)
-    blue = y + (116130 * cb + 32768 >> 16)
-    return np.stack([red, green, blue], axis=2).clip(0, 255).astype(np.uint8)
+        return planes[0][0][: f.height, : f.width, None].repeat(3, axis=2)
+    # Colour differences are reckoned before they are repeated.
+    if planes[1][1:] != planes[2][1:]:
+        planes[1:] = [(p.repeat(v, axis=0).repeat(h, axis=1), 1, 1) for p, v, h in planes[1:]]
+    luma, down, across = planes[0]
+    luma = luma.repeat(down, axis=0).repeat(across, axis=1).astype(np.int32) if down * across > 1 else luma.astype(np.int32)
+    cb, cr = planes[1][0].astype(np.int32) - 128, planes[2][0].astype(np.int32) - 128
+    _, down, across = planes[1]
+    luma = luma.reshape(len(cb), down, cb.shape[1], across)
+    rgb = np.empty((*luma.shape, 3), np.uint8)
+    for c, difference in enumerate((91881 * cr + 32768 >> 16, -(22554 * cb + 46802 * cr + 32768 >> 16), 116130 * cb + 32768 >> 16)):
+        full = luma + difference[:, None, :, None]
+        rgb[..., c] = full.clip(0, 255, out=full)
+    return rgb.reshape(len(cb) * down, cb.shape[1] * across, 3)[: f.height, : f.width]
 
 
 def padded(text: str) -> bytes:
@@ -559,16 +598,39 @@ def groups(sizes: list[int]) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+_COLUMNS = "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary, feature string"
+_MEDIA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
+_READ_BACK = pa.schema([*_MEDIA, *(
+    ("payload", pa.binary()), ("height", pa.int32()), ("width", pa.int32()), ("rgb", pa.binary()), ("feature", pa.string())
+)])
+
+
+def _encoded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+    for s in groups([len(t) for t in texts]):
+        yield record(_MEDIA, ids[s], [len(t.encode()) for t in texts[s]], encode([padded(t) for t in texts[s]]))
+
+
+def _decoded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    files = batch.column("media").to_pylist()
+    kept = [batch.column(c).to_pylist() for c in ("doc_id", "n_bytes")]
+    for s in groups([len(f) for f in files]):
+        got = decode(files[s])
+        payloads = [(c.ravel() + 128).astype(np.uint8).tobytes()[: struct.unpack(">Q", note)[0]] for note, c, _ in got]
+        tensors = [t for _, _, t in got]
+        yield record(
+            _READ_BACK, *(k[s] for k in kept), files[s], payloads, [t.shape[0] for t in tensors], [t.shape[1] for t in tensors],
+            [t.tobytes() for t in tensors], [feature(t) for t in tensors],
+        )
+
+
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_bytes (of the text), media (a progressive JPEG file of the padded text)."""
     bounded_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for s in groups([len(t) for t in texts]):
-                yield record(schema, ids[s], [len(t.encode()) for t in texts[s]], encode([padded(t) for t in texts[s]]))
+            yield from _encoded(batch)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
@@ -576,25 +638,24 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def from_media(media: DataFrame) -> DataFrame:
     """media with payload (the stored bytes), height, width, rgb (the tensor, row by row) and feature (its statistics)."""
     bounded_batches(media.sparkSession)
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary()), ("payload", pa.binary()), ("height", pa.int32()),
-        ("width", pa.int32()), ("rgb", pa.binary()), ("feature", pa.string()),
-    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            files = batch.column("media").to_pylist()
-            kept = [batch.column(c).to_pylist() for c in ("doc_id", "n_bytes")]
-            for s in groups([len(f) for f in files]):
-                got = decode(files[s])
-                payloads = [(c.ravel() + 128).astype(np.uint8).tobytes()[: struct.unpack(">Q", note)[0]] for note, c, _ in got]
-                tensors = [t for _, _, t in got]
-                yield record(
-                    schema, *(k[s] for k in kept), files[s], payloads, [t.shape[0] for t in tensors], [t.shape[1] for t in tensors],
-                    [t.tobytes() for t in tensors], [feature(t) for t in tensors],
-                )
-
-    return media.mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary, feature string")
+            yield from _decoded(batch)
+
+    return media.mapInArrow(run, _COLUMNS)
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """from_media(to_media(docs)) in one pass of a worker: the files do not travel to Spark and back in between."""
+    bounded_batches(docs.sparkSession, mb=4)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for stored in _encoded(batch):
+                yield from _decoded(stored)
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, _COLUMNS)
 
 
 def feature(rgb: np.ndarray) -> str:

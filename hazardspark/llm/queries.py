@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 @query("op1_progressive_jpeg")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as a progressive JPEG, its payload read back from the file, and the picture's statistics."""
-    out = jpeg.from_media(jpeg.to_media(table(spark, sf_dir, "documents")))
+    out = jpeg.round_trip(table(spark, sf_dir, "documents"))
     return out.select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(F.substring("payload", -32, 32)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"),
