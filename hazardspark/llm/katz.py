@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from hazardspark.llm.common import LOWER, bounded_batches, id_and_text, record, words, xxhash_all
 from hazardspark.session import fresh_dir
 
-BLOCK, OWNED, SMALL = 16 << 20, 4_000_000, 5
+BLOCK, OWNED, SMALL = 12 << 20, 2_000_000, 5
 END = b"\n"
 _BLOCKS = "block long, doc_ids array<long>, train array<boolean>, lens array<long>, keys binary, seq binary"
 
@@ -327,7 +327,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     ``held`` (over doc_id) says which rows teach nothing. An owner gets about ``owned`` tokens' words and pairs.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, mb=4)
     folder = fresh_dir(spark, "katz")
     to_blocks(docs, held, id_col, text_col).write.parquet(f"{folder}/blocks")
     blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
