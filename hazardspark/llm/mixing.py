@@ -27,22 +27,29 @@ FEW = 100_000
 MARGINS = ("m_source", "m_lang", "m_topic")
 
 
-def tokens(text: Column) -> Column:
-    """Words separated by white space, counted by the places where one ends."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "\t\n\r\x0b\x0c", "     ")
-    return F.size(F.filter(F.split(plain, " "), lambda w: w != "")).cast("long")
+# What the classes of characters are. Every character becomes its class's first one.
+_CLASSES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "%&$#*!", " \t\n\r\x0b\x0c")
 
 
-def topic(text: Column) -> Column:
+def classes(text: Column) -> Column:
+    """The text with capitals, figures, symbols and white space made one character each; computed once per row."""
+    return F.translate(F.coalesce(text, F.lit("")), "".join(_CLASSES), "".join(c[0] * len(c) for c in _CLASSES))
+
+
+def tokens(classed: Column) -> Column:
+    """Words separated by white space."""
+    return F.size(F.array_remove(F.split(classed, " "), "")).cast("long")
+
+
+def topic(classed: Column) -> Column:
     """What a text consists of: figures, symbols, capitals, rows of a table, or prose; by shares of its characters."""
-    t = F.coalesce(text, F.lit(""))
-    length = F.greatest(F.char_length(t), F.lit(1))
-    share = lambda chars: (F.char_length(t) - F.char_length(F.translate(t, chars, ""))) / length
+    length = F.char_length(classed)
+    share = lambda c: (length - F.char_length(F.replace(classed, F.lit(c), F.lit("")))) / F.greatest(length, F.lit(1))
     return (
-        F.when(share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 0.3, F.lit("capitals"))
-        .when(share("0123456789") > 0.05, F.lit("figures"))
+        F.when(share("A") > 0.3, F.lit("capitals"))
+        .when(share("0") > 0.05, F.lit("figures"))
         .when(share("|") > 0.02, F.lit("table"))
-        .when(share("%&$#*!") > 0.05, F.lit("symbols"))
+        .when(share("%") > 0.05, F.lit("symbols"))
         .otherwise(F.lit("prose"))
     )
 
@@ -50,11 +57,13 @@ def topic(text: Column) -> Column:
 def with_cells(docs: DataFrame, text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_of: Column | None = None) -> DataFrame:
     """docs with m_tokens and the three categories under names of their own (such columns of docs are replaced); null is '\\0'."""
     named = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
-    docs = docs.drop("m_tokens", *MARGINS, "m_probability", "m_kept")
+    docs = docs.drop("m_classes", "m_tokens", *MARGINS, "m_probability", "m_kept")
+    # The planner keeps a costly column that is read several times in a projection of its own.
+    docs = docs.withColumn("m_classes", classes(F.col(text_col)))
     return docs.select(
-        "*", tokens(F.col(text_col)).alias("m_tokens"), named(F.col(source_col)).alias("m_source"),
-        named(F.col(lang_col)).alias("m_lang"), named(topic(F.col(text_col)) if topic_of is None else topic_of).alias("m_topic"),
-    )
+        "*", tokens(F.col("m_classes")).alias("m_tokens"), named(F.col(source_col)).alias("m_source"),
+        named(F.col(lang_col)).alias("m_lang"), named(topic(F.col("m_classes")) if topic_of is None else topic_of).alias("m_topic"),
+    ).drop("m_classes")
 
 
 def target_shares(cells: DataFrame, margin: str, targets: Mapping[str, float] | None, power: float) -> DataFrame:
