@@ -147,13 +147,12 @@ def top_k(
                     got, scores = best(q[j], int(q_ids[j]), x, ids, norms, bound, k)
                     yield record(out, np.full(len(got), q_ids[j]), got, scores)
 
+    # The tables are made once and written; no task feeds one Python worker from another.
+    tables = cut_lineage(blocks.mapInArrow(tabulate, "size int, ids binary, x binary, pivots binary, distances binary, query_blocks long"))
+    packs = cut_lineage(asked.mapInArrow(pack, "size int, ids binary, x binary, query_block long"))
     work = (
-        blocks.mapInArrow(tabulate, "size int, ids binary, x binary, pivots binary, distances binary, query_blocks long")
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1))).drop("query_blocks")
-        .join(
-            asked.mapInArrow(pack, "size int, ids binary, x binary, query_block long").withColumnsRenamed({"ids": "q_ids", "x": "q_x"}),
-            ["size", "query_block"],
-        )
+        tables.withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1))).drop("query_blocks")
+        .join(packs.withColumnsRenamed({"ids": "q_ids", "x": "q_x"}), ["size", "query_block"])
     )
     ranked = work.mapInArrow(search, "query_id long, vec_id long, score long").withColumn(
         "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
