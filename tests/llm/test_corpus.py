@@ -245,6 +245,50 @@ def test_simhash_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def similar_by_hand(texts, size=5, similarity=0.8):
+    """Least id reachable from each id by pairs of shingle sets."""
+    sets, least = {}, {i: i for i in texts}
+    for i, t in texts.items():
+        w = split(t)
+        sets[i] = {" ".join(w[k : k + size]) for k in range(len(w) - size + 1)} or ({" ".join(w)} if w else set())
+
+    def find(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            shared = len(sets[i] & sets[j])
+            if j < i and (sets[i] == sets[j] or shared / max(1, len(sets[i]) + len(sets[j]) - shared) >= similarity):
+                a, b = sorted((find(i), find(j)))
+                least[b] = a
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("leaders", [16, 1])
+def test_near_duplicate_stage_links_all_pairs_of_its_rule(spark, sf, texts, odd, empty, leaders, monkeypatch):
+    """Texts at 0.83 differ in 9 bits of the fingerprint; chains whose ends are not alike, and a group of near copies."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(simhash, "LEADERS", leaders)
+    given = dict(texts) | {5000: "", 5001: None, 5002: " \t"}
+    base = [f"w{k}" for k in range(400)]
+    for step in range(12):  # neighbours are alike, the ends are not
+        given[6000 + step] = " ".join(f"c{k}" if k < 30 * step else w for k, w in enumerate(base))
+    for k in range(60):
+        given[7000 + k] = " ".join([*(f"g{i}" for i in range(300)), f"end{k}"])
+    frame = spark.createDataFrame(list(given.items()), "doc_id long, text string")
+    want = similar_by_hand({i: t or "" for i, t in given.items()})
+    assert want[177] == 1 and want[6011] == 6000 and want[7059] == 7000
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar(frame).collect()} == want
+    kept = corpus_pipeline.remove_near_duplicates(spark, frame, sf)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, j in want.items() if i == j}
+    kept = simhash.keep_one_similar(odd)
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert kept.columns == odd.columns and None in ids and ids.count(8) == 2 and simhash.keep_one_similar(empty).count() == 0
+
+
 # The pipeline
 
 
