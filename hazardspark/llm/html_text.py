@@ -1,7 +1,8 @@
 """Main text of web pages by consensus of a host's pages.
 
-Every page scores its containers: from the body down, the container goes on to a child that holds most of the text that
-is neither boilerplate nor links. The page votes for the generalised path of that container (tags and classes from the
+Every page scores its containers (block sections): from the body down, the container goes on to a child that holds most of
+the text that is neither boilerplate nor links. It does not go into the parts of an article or main, nor past headings and
+paragraphs that lie beside its children. The page votes for the generalised path of that container (tags and classes from the
 root, digits in classes as #). Spark adds up the votes by host, and the path with the most votes wins. Each page is then
 extracted anew from the containers on its host's winning path; a page without such a container, or a winning path with
 no text on the page, falls back to the page's own container.
@@ -54,7 +55,9 @@ _CLOSES = {
     "option": ({"option"}, {"select", "datalist"}), "body": ({"head"}, {"html"}),
 }
 _P_STAYS = frozenset("td th caption button object table html body div article section main li blockquote".split())
-_CONTAINERS = frozenset("body main article section div td center table tbody tr blockquote dl dd figure details form fieldset span".split())
+_CONTAINERS = frozenset("body main article section div center".split())
+#: Containers that are taken whole.
+_WHOLE = frozenset("main article".split())
 _DROPPED = frozenset(
     "nav header footer aside form script style noscript template iframe head title select textarea button dialog svg math canvas object "
     "audio video menu search datalist xmp noembed noframes".split()
@@ -210,11 +213,12 @@ def weight(node: Node) -> int:
 
 
 def own_container(root: Node) -> Node:
-    """From the root down while one child has most of the text."""
+    """From the root down while one child has most of the text; not past an article, nor past text outside all children."""
     now = root
-    while now.children:
+    while now.children and now.tag not in _WHOLE:
         best = max(now.children, key=weight)
-        if weight(best) < MOST * weight(now) or not weight(best):
+        loose = now.text - now.links - sum(n.text - n.links for n in now.children)
+        if loose > 0 or weight(best) < MOST * weight(now) or not weight(best):
             break
         now = best
     return now

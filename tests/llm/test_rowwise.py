@@ -146,6 +146,18 @@ def test_html_consensus_and_odd_pages(spark):
     assert html_text.extract(pages.where("page_id > 99")).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize("inner", ["div class=body", "section", "table", "blockquote", "dl", "figure", "details", "span"])
+def test_html_keeps_what_lies_beside_the_largest_part(spark, tag, inner):
+    """The part in ``inner`` holds nine tenths of the article."""
+    part, name = "words of the largest part " * 20, inner.split()[0]
+    cell = {"table": f"<tr><td>{part}", "dl": f"<dt>{part}"}.get(name, part)
+    page = f"<body><div class=page><{tag}><h1>Heading</h1><p>The lead</p><{inner}>{cell}</{name}><p>The end</p></{tag}></div></body>"
+    text = "\n".join(["Heading", "The lead", part.strip(), "The end"])
+    pages = spark.createDataFrame([(i, f"http://h.example/{i}", page) for i in range(3)], "page_id long, url string, html string")
+    assert html_text.text_of(page, None) == text and {r["text"] for r in html_text.extract(pages).collect()} == {text}
+
+
 def test_html_hard_pages_take_linear_time():
     for page in ("<div>" * 9000 + "x", "<" * 90_000, "<a " * 40_000, "<b>" * 9000 + "</i>" * 9000 + "<p>x</p>" * 4000, "<a href='" * 9000):
         html_text.text_of(page, None)
