@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, pii, pivots, simhash, toxicity
+from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, partition_join, pii, pivots, simhash, toxicity
 from hazardspark.llm.common import Query, share, table
 
 QUERIES: dict[str, Query] = {}
@@ -111,3 +111,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs)).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
     )
+
+
+@query("op13_partition_join")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of five-word shingles and component of every document, by links of similarity 0.8."""
+    return partition_join.join(table(spark, sf_dir, "documents"), size=5, percent=80)

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardspark.llm.common import LOWER, bounded_batches, id_and_text, record, words
+from hazardspark.llm.graph import components, stars
+from hazardspark.llm.setlinks import Shingler, candidates, component_ids, exact_links, parity, read_sets, set_key
 from hazardspark.session import cut_lineage
 
 SHINGLE, SEED = 4, 42
@@ -122,24 +124,6 @@ def _blocks(blocks: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each value that a link joins with others, and the least value that it reaches by the given links."""
-    values, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
-    i, j = flat[: len(a)], flat[len(a) :]
-    label = np.arange(len(values))
-    while True:
-        low = np.minimum(label[i], label[j])
-        after = label.copy()
-        np.minimum.at(after, i, low)
-        np.minimum.at(after, j, low)
-        after = after[after]
-        if (after == label).all():
-            break
-        label = after
-    own = label != np.arange(len(values))
-    return values[own], values[label[own]]
-
-
 def compare(key: np.ndarray, home: np.ndarray, bits: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between home rows and copies with the same key, as stars; rows come sorted by key."""
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -221,37 +205,6 @@ def links(classes: DataFrame, threshold: int = 4, blocks: int = 3) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node and root (the least node it reaches) of every node that has an edge, from edges (a, b)."""
-    now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-
-    def stamp(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first())
-
-    before = stamp(now)
-    for _ in range(rounds):
-        if not before[0]:
-            break
-        # Large star: every greater neighbour of a node points to the node's least neighbour.
-        both = cut_lineage(now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = cut_lineage(large.where("a <> b"))
-        # Small star: a node and its lesser neighbours point to the least of them.
-        least = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = cut_lineage(small.union(least.select("a", F.col("m").alias("b"))).distinct())
-        after = stamp(now)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    )
-
-
 def near_duplicates(
     docs: DataFrame, threshold: int = 4, blocks: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -279,171 +232,76 @@ def keep_one(docs: DataFrame, threshold: int = 4, id_col: str = "doc_id", text_c
 
 # Links by the similarity of whole shingle sets: a fingerprint's bits cannot tell 0.8 from less (pairs at 0.83 differ in up to 17 bits).
 
-#: Least hashes of a band, bands, hashes of the sketch. Texts of similarity 0.8 meet in no band once in 3.5 million pairs.
-ROWS, BANDS, SKETCH = 5, 38, 192
-#: Members of a bucket that the others are held against first, pairs of one row that stay in one task, row ids that may be broadcast.
-LEADERS, HOT_PAIRS, FEW = 16, 256, 1_000_000
+#: Least hashes of a band, and bands. Texts of similarity 0.8 meet in no band once in 3.5 million pairs.
+ROWS, BANDS = 5, 38
 _RNG = np.random.default_rng(SEED)
-_XOR, _TIMES = _RNG.integers(0, 2**64, (2, SKETCH, 1), np.uint64)
+_XOR, _TIMES = _RNG.integers(0, 2**64, (2, BANDS * ROWS, 1), np.uint64)
 _TIMES |= np.uint64(1)
 _FOLD = _RNG.integers(0, 2**64, (BANDS, ROWS), np.uint64) | np.uint64(1)
 
 
-def shingle_set(text: str, size: int, seed: int = SEED) -> np.ndarray:
-    """The distinct XXH64 values of a text's shingles in order."""
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest
-    parts = [np.unique(np.fromiter((digest(s, seed) for s in part), np.uint64, len(part))) for part in shingles(text, size)]
-    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
-
-
-def set_key(values: np.ndarray) -> int:
-    import xxhash
-
-    return int(np.uint64(xxhash.xxh64_intdigest(values.tobytes(), SEED)).astype(np.int64))
-
-
-def sketch(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys, and one bit of each least hash in three longs."""
-    least = np.full(SKETCH, 2**64 - 1, np.uint64)
+def band_keys(values: np.ndarray) -> np.ndarray:
+    """One key per band from the least hashes of a set's values."""
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
     for start in range(0, len(values), 2048):
         np.minimum(least, ((values[None, start : start + 2048] ^ _XOR) * _TIMES).min(axis=1), out=least)
-    keys = (least[: BANDS * ROWS].reshape(BANDS, ROWS) * _FOLD).sum(axis=1, dtype=np.uint64)
-    bits = np.packbits((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63) != 0)
-    return keys.view(np.int64), bits.view(np.int64)
-
-
-def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
-    """Columns of rows sorted by the first one, cut only where it changes."""
-    kept = None
-    for batch in batches:
-        rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        if kept:
-            rows = [np.concatenate(x) for x in zip(kept, rows)]
-        whole = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
-        if whole:
-            yield [x[:whole] for x in rows]
-        kept = [x[whole:] for x in rows]
-    if kept and len(kept[0]):
-        yield kept
+    return (least.reshape(BANDS, ROWS) * _FOLD).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of buckets with two members or more."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
-    for key, node in _runs(batches, ["key", "node"]):
-        change = key[1:] != key[:-1]
-        alone = np.concatenate(([True], change)) & np.concatenate((change, [True]))
-        yield record(schema, key[~alone], node[~alone])
-
-
-def _proposals(similarity: float, crossing: bool):
-    """Pairs of a bucket that size and sketch allow: a few of each member, or all that join different components."""
-    agree = (1 + similarity) / 2
-    most = SKETCH - int(SKETCH * agree - 6 * (SKETCH * agree * (1 - agree)) ** 0.5)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Sorted rows (bucket, node) of buckets with two members or more; only the last row waits for the next batch."""
+    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
+    bucket, node = np.empty(0, np.int64), np.empty(0, np.int64)
+    before = None
+    for batch in batches:
+        bucket = np.concatenate((bucket, batch.column("bucket").to_numpy(zero_copy_only=False)))
+        node = np.concatenate((node, batch.column("node").to_numpy(zero_copy_only=False)))
+        same = bucket[1:] == bucket[:-1]
+        keep = np.concatenate((same, [False])) | np.concatenate(([before is not None and len(bucket) and bucket[0] == before], same))
+        yield record(schema, bucket[:-1][keep[:-1]], node[:-1][keep[:-1]])
+        before = bucket[-2] if len(bucket) > 1 else before
+        bucket, node = bucket[-1:], node[-1:]
+    if len(bucket) and before is not None and bucket[0] == before:
+        yield record(schema, bucket, node)
+
+
+def similar_links(docs: DataFrame, prints: DataFrame, size: int, percent: int, id_col: str, text_col: str, **blocks) -> DataFrame:
+    """Edges (a, b) of set keys that join what all pairs of sets that share a band and link by their whole sets join."""
+    keys = prints.select(F.explode("keys").alias("bucket"), "node").distinct()
+    met = cut_lineage(keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, "bucket long, node long"))
+    nodes = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "parity")))
+    nodes = cut_lineage(nodes.join(met.select("node").distinct(), "node", "left_semi"))
+    edges = candidates(met.withColumn("home", F.lit(True)), nodes, percent)
+    wanted = nodes.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    return exact_links(edges, nodes, read_sets(docs, wanted, size, id_col, text_col), percent, **blocks)
+
+
+def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **blocks) -> DataFrame:
+    """Per row with an id: doc_id, component_id (the least doc_id reachable by pairs whose sets of ``size``-word shingles
+    have 100 * intersection >= percent * union, percent 80 or more).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, root, node, n, *sketches in _runs(batches, ["key", "root", "node", "n", "s0", "s1", "s2"]):
-            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            ends = np.append(starts[1:], len(key))
-
-            def near(i: int, js: np.ndarray) -> np.ndarray:
-                far = sum(np.bitwise_count((s[js] ^ s[i]).view(np.uint64)).astype(np.int64) for s in sketches)
-                return js[(far <= most) & (np.minimum(n[js], n[i]) >= similarity * np.maximum(n[js], n[i]) - 1e-6)]
-
-            a, b = [], []
-            for start, end in zip(starts.tolist(), ends.tolist()):
-                if crossing and root[start] == root[end - 1]:
-                    continue
-                for i in range(start + 1, end):
-                    if crossing:
-                        found = near(i, np.arange(start, start + int(np.searchsorted(root[start:end], root[i]))))
-                    else:
-                        found = np.append(near(i, np.arange(start, min(i, start + LEADERS)))[:1], near(i, np.array([i - 1])))
-                    a.append(node[found])
-                    b.append(np.full(len(found), node[i]))
-            if a:
-                x, y = np.concatenate(a), np.concatenate(b)
-                yield record(schema, np.minimum(x, y), np.maximum(x, y))
-
-    return run
-
-
-def similar_links(docs: DataFrame, prints: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """Edges (a, b) of set keys, each at least ``similarity`` by their whole sets, that join what all such pairs join.
-
-    Sets meet where they share a band. First each member of a bucket is held against a few others; then, with the
-    components so far, against every member of other components, so a group of near copies never makes all its pairs.
+    Texts without words (null, empty, white space) are alike; rows that repeat an id or a text repeat its result; equal
+    sets share a component whatever the order of ties; rows without an id are left out; other columns are ignored, also
+    those named like ours; an empty table gives no rows.
     """
-    keys = prints.select(F.explode("keys").alias("key"), "node")
-    met = keys.distinct().repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, node long")
-    met = cut_lineage(met)
-    about = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "s0", "s1", "s2")))
-    about = cut_lineage(about.join(met.select("node").distinct(), "node", "left_semi"))
-    members = cut_lineage(met.join(about.drop("doc_id"), "node"))
-    ids = about.select(F.col("doc_id").alias("_wanted")).distinct()
-    ids = F.broadcast(ids) if about.count() <= FEW else ids
-    wanted = id_and_text(docs, id_col, text_col)
-    wanted = wanted.join(ids, wanted["doc_id"] == ids["_wanted"], "left_semi")
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                values = shingle_set(text, size)
-                yield record(schema, [set_key(values)], [values.view(np.int64)])
-
-    # A repeated id may bring other texts, which no pair asks for.
-    sets = cut_lineage(wanted.mapInArrow(read, "node long, shingles array<long>").dropDuplicates(["node"]))
-
-    def propose(rooted: DataFrame, crossing: bool) -> DataFrame:
-        rows = rooted.select("key", "root", "node", "n", "s0", "s1", "s2").repartition("key").sortWithinPartitions("key", "root", "node")
-        return rows.mapInArrow(_proposals(similarity, crossing), "a long, b long").distinct()
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        hot = pairs.groupBy("a").count().where(F.col("count") > HOT_PAIRS)
-        hot = cut_lineage(hot.select("a", F.ceil(F.col("count") / HOT_PAIRS).cast("int").alias("salts")))
-        salts = F.coalesce("salts", F.lit(1))
-        dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"))
-        one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one")).join(hot, "a", "left")
-        one = one.select("a", "one", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-        both = dealt.join(one, ["a", "salt"]).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("two")), "b")
-        shared = F.size(F.array_intersect("one", "two"))
-        return cut_lineage(both.where(shared / (F.size("one") + F.size("two") - shared) >= similarity).select("a", "b"))
-
-    tried = cut_lineage(propose(members.withColumn("root", F.lit(0).cast("long")), False))
-    links = verified(tried)
-    roots = cut_lineage(components(links))
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return links.union(verified(cut_lineage(propose(rooted, True).join(tried, ["a", "b"], "left_anti"))))
-
-
-def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row with an id: doc_id, component_id (the least doc_id reachable by pairs whose sets of ``size``-word shingles
-    have a Jaccard similarity of ``similarity``, 0.8 or more). Texts without words are alike."""
     bounded_batches(docs.sparkSession)
-    names = ["doc_id", "node", "n", "s0", "s1", "s2", "keys"]
-    schema = pa.schema([(c, pa.list_(pa.int64()) if c == "keys" else pa.int64()) for c in names])
+    names = ["doc_id", "node", "n", "parity", "keys"]
+    kinds = {"parity": pa.binary(), "keys": pa.list_(pa.int64())}
+    schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(size)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                values = shingle_set(text, size)
-                keys, bits = sketch(values)
-                rows.append((doc_id, set_key(values), len(values), *bits.tolist(), keys if len(values) else []))
+                values = shingler(text)
+                rows.append((doc_id, set_key(values), len(values), parity(values), band_keys(values) if len(values) else []))
             yield record(schema, *(zip(*rows) if rows else [[]] * len(names)))
 
-    ddl = ", ".join(f"{c} array<long>" if c == "keys" else f"{c} long" for c in names)
+    ddl = "doc_id long, node long, n long, parity binary, keys array<long>"
     prints = cut_lineage(id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, ddl))
-    roots = cut_lineage(components(similar_links(docs, prints, size, similarity, id_col, text_col)))
-    first = prints.groupBy("node").agg(F.min("doc_id").alias("first"))
-    rooted = cut_lineage(first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = cut_lineage(rooted.join(least, "root").select("node", "component_id"))
-    return prints.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
+    links = similar_links(docs, prints, size, percent, id_col, text_col, **blocks)
+    return component_ids(prints, links).select("doc_id", "component_id")
 
 
 def _first_rows(docs: DataFrame, named: DataFrame, id_col: str) -> DataFrame:
@@ -451,6 +309,7 @@ def _first_rows(docs: DataFrame, named: DataFrame, id_col: str) -> DataFrame:
     return docs.join(later, docs[id_col].cast("long") == later["_later"], "left_anti")
 
 
-def keep_one_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As ``keep_one``, with links by the similarity of shingle sets."""
-    return _first_rows(docs, similar(docs, size, similarity, id_col, text_col), id_col)
+def keep_one_similar(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``keep_one``, with links by the similarity of shingle sets: all columns of the rows that are first in their
+    component; of texts without words one stays, and rows without an id and rows that repeat a kept id stay."""
+    return _first_rows(docs, similar(docs, size, percent, id_col, text_col), id_col)

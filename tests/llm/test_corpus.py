@@ -13,7 +13,7 @@ import xxhash
 from compare import compare, duck
 from pyspark.sql import functions as F
 
-from hazardspark.llm import katz, mixing, pivots, simhash
+from hazardspark.llm import katz, mixing, pivots, setlinks, simhash
 from hazardspark.llm.queries import ORACLES, QUERIES
 
 
@@ -266,12 +266,12 @@ def similar_by_hand(texts, size=5, similarity=0.8):
     return {i: find(i) for i in sets}
 
 
-@pytest.mark.parametrize("leaders", [16, 1])
-def test_near_duplicate_stage_links_all_pairs_of_its_rule(spark, sf, texts, odd, empty, leaders, monkeypatch):
+@pytest.mark.parametrize("blocks", [{}, {"elements": 3000, "most_sets": 16}])
+def test_near_duplicate_stage_links_all_pairs_of_its_rule(spark, sf, texts, odd, empty, blocks, monkeypatch):
     """Texts at 0.83 differ in 9 bits of the fingerprint; chains whose ends are not alike, and a group of near copies."""
     import corpus_pipeline
 
-    monkeypatch.setattr(simhash, "LEADERS", leaders)
+    monkeypatch.setattr(setlinks, "HOT", 16 if blocks else setlinks.HOT)
     given = dict(texts) | {5000: "", 5001: None, 5002: " \t"}
     base = [f"w{k}" for k in range(400)]
     for step in range(12):  # neighbours are alike, the ends are not
@@ -281,7 +281,7 @@ def test_near_duplicate_stage_links_all_pairs_of_its_rule(spark, sf, texts, odd,
     frame = spark.createDataFrame(list(given.items()), "doc_id long, text string")
     want = similar_by_hand({i: t or "" for i, t in given.items()})
     assert want[177] == 1 and want[6011] == 6000 and want[7059] == 7000
-    assert {r["doc_id"]: r["component_id"] for r in simhash.similar(frame).collect()} == want
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar(frame, **blocks).collect()} == want
     kept = corpus_pipeline.remove_near_duplicates(spark, frame, sf)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, j in want.items() if i == j}
     kept = simhash.keep_one_similar(odd)
@@ -324,7 +324,7 @@ def test_pipeline_stages_act(stages, spark, sf):
     rejected = {r["doc_id"] for r in toxicity.score(stages["toxicity"][0], chain).collect() if r["rejected"]}
     assert set(after) == set(before) - rejected and len(after) > 0.8 * len(before)
     before, after = map(by_id, stages["simhash_near_duplicates"])
-    least = components_by_hand({i: print_by_hand(r["text"] or "") for i, r in before.items()})
+    least = similar_by_hand({i: r["text"] or "" for i, r in before.items()})
     assert set(after) == {i for i, j in least.items() if i == j}
     before, after = map(by_id, stages["personal_data"])
     assert set(after) == set(before) and not any(plain(r["text"] or "") for r in after.values())
