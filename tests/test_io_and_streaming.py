@@ -46,7 +46,7 @@ def test_labelled_spans_file(spark, tmp_path):
 
 
 def test_extractor_quality_on_spans(spark):
-    from hazardspark.checks.extract_checks import span_quality
+    from hazardspark.operators.report import span_quality
 
     spans = spark.createDataFrame([("12 mortos na cheia", 0, 2, "FATALITIES", "12"), ("cheia faz 4 vítimas", 10, 11, "INJURED", "4")], "text string, start int, end int, label string, span string")
     got = {r["label"]: (r["n_true"], r["n_right"], r["recall"]) for r in span_quality(spans).collect()}
