@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, partition_join, pii, pivots, simhash, toxicity
+from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, partition_join, pii, pivots, runs, simhash, toxicity
 from hazardspark.llm.common import Query, share, table
 
 QUERIES: dict[str, Query] = {}
@@ -113,6 +113,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_suffix_tree_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, a tenth of them with a periodic tail, and what is left when they collapse."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    out = runs.find(docs, least=24, exponent=3, loop=F.when(h % 10 == 0, F.floor(h / 10)))
+    # The greatest exact length / period, then the least start and period.
+    better = lambda a, b: F.when(a.length * b.period != b.length * a.period, b.length * a.period - a.length * b.period).when(
+        a.start != b.start, a.start - b.start
+    ).otherwise(a.period - b.period)
+    best = F.try_element_at(F.array_sort("runs", lambda a, b: F.signum(better(a, b)).cast("int")), F.lit(1))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return out.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_partition_join")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of five-word shingles and component of every document, by links of similarity 0.8."""
