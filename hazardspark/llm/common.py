@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,20 @@ def bounded_batches(spark: SparkSession, mb: int = 16, rows: int = 2000) -> None
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int, mb: int = 64) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows for what is computed inside; the session's own settings come back afterwards."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(mb << 20)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns named doc_id and text whatever else the table holds; a null text is an empty one."""
     return docs.select(

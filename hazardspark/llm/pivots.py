@@ -1,15 +1,17 @@
 """Exact top-k search by inner product with a pivot table.
 
 Vectors of whole numbers are dealt into blocks by a hash of their id. Each block keeps a table of the distances from its
-vectors to pivots that lie far apart. The distances from a query to the pivots give, by the triangle inequality, a lower
-bound on its distance to every vector, the largest over all pivots; with the norms that is an upper bound on the inner
-product. Candidates are evaluated in the order of their bounds until the k-th best score is above the next bound; ties
-are evaluated, so equal scores go to smaller ids. Queries are dealt into blocks too; every pair of a query block and a
-vector block is one row of work, and the best k of a query per block are merged at the end.
+vectors to many pivots that lie far apart, and lists its vectors by their nearest pivot. The distances from a query to
+the pivots give, by the triangle inequality, a lower bound on its distance to every vector, the largest over all pivots;
+with the norms that is an upper bound on the inner product. Vectors that stand side by side form runs; a group of
+queries takes the runs in the order of their bounds and multiplies a run out only if some query's k-th best score so far
+is not above the run's bound for it, so what is left at the stop can change no result; ties are multiplied out, so equal
+scores go to smaller ids. Queries are dealt into blocks too; every pair of a query block and a vector block is one row of
+work, and the best k of a query per block are merged at the end.
 
 Defined results: a vector that is null or holds a null or non-finite component takes no part, nor does a row without an
 id; of rows with one id the least vector counts; only vectors of one length are compared with each other; vectors with
-no component score 0; scores beyond a long are cut to it; other columns are ignored.
+no component score 0; scores beyond a long are cut to it; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazardspark.llm.common import bounded_batches, record
+from hazardspark.llm.common import batch_rows, record
 from hazardspark.session import cut_lineage
 
-BLOCK, QUERIES, PIVOTS, STEP = 8192, 512, 32, 256
+BLOCK, QUERIES, PIVOTS, STEP = 8192, 512, 128, 256
+#: Queries that go through a block together; a score and a place in its block share a long up to these bits.
+GROUP, PLACE, SCORE = 64, 20, 42
 
 
 def whole(vectors: DataFrame, scale: float, id_col: str, vec_col: str) -> DataFrame:
@@ -83,13 +87,51 @@ def best(q: np.ndarray, q_id: int, x: np.ndarray, ids: np.ndarray, norms: np.nda
     return found_ids, found
 
 
+def upper_bounds(table: np.ndarray, to_pivots: np.ndarray, norms: np.ndarray, q_norms: np.ndarray) -> np.ndarray:
+    """Upper bounds on the inner products of queries (rows) and vectors (columns). ``table`` has a row per pivot.
+
+    The slack covers the rounding of distances (single precision), norms and roots.
+    """
+    low = np.zeros((len(to_pivots), table.shape[1]), np.float32)
+    for column, t in zip(table, to_pivots.T.astype(np.float32)):
+        gap = column[None, :] - t[:, None]
+        np.abs(gap, out=gap)
+        np.maximum(low, gap, out=low)
+    both = norms[None, :] + q_norms[:, None]
+    certain = np.maximum(0, low - 4e-7 * (table.max(axis=0).astype(float)[None, :] + to_pivots.max(axis=1)[:, None]))
+    return (both - certain * certain) / 2 + 1e-9 * both + 1e-6
+
+
+def best_of_group(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, place: np.ndarray, bound: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The k best (ids, scores) of a block for each query. ``place`` ranks the vectors by id; products are exact."""
+    starts = np.arange(0, len(x), STEP)
+    highest = np.maximum.reduceat(bound, starts, axis=1)
+    none = np.iinfo(np.int64).min
+    top = np.full((len(q), k), none)
+    last = (1 << PLACE) - 1 - place
+    for run in np.argsort(-highest.max(axis=0), kind="stable").tolist():
+        kth = np.where(top[:, 0] == none, -np.inf, (top[:, 0] >> PLACE).astype(float))
+        asks = np.flatnonzero(highest[:, run] >= kth)
+        if not len(asks):
+            continue
+        part = slice(run * STEP, run * STEP + STEP)
+        keys = ((q[asks] @ x[part].T).astype(np.int64) << PLACE) | last[part][None, :]
+        keys[q_ids[asks][:, None] == ids[part][None, :]] = none
+        both = np.concatenate((top[asks], keys), axis=1)
+        # The partition puts the least of the k best first.
+        top[asks] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+    by_place = np.argsort(place)
+    for row in top:
+        row = np.sort(row[row != none])[::-1]
+        yield ids[by_place[(1 << PLACE) - 1 - (row & ((1 << PLACE) - 1))]], row >> PLACE
+
+
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, pivots: int = PIVOTS,
     block: int = BLOCK, queries: int = QUERIES, id_col: str = "vec_id", vec_col: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other vectors of every row for which ``is_query`` (over vec_id) holds."""
     spark = vectors.sparkSession
-    bounded_batches(spark, rows=16)
     rows = cut_lineage(whole(vectors, scale, id_col, vec_col))
     sizes = rows.groupBy("size").agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("n_queries"))
     sizes = cut_lineage(sizes.select(
@@ -116,7 +158,11 @@ def top_k(
             for i in range(batch.num_rows):
                 ids, x = unpack(batch, i)
                 p = spread(x, pivots)
-                yield record(tabled, [x.shape[1]], [ids.tobytes()], [x.tobytes()], [p.tobytes()], [distances(x, p).tobytes()], [batch.column("query_blocks")[i].as_py()])
+                table = distances(x, p)
+                # Vectors of one nearest pivot stand side by side, from near to far.
+                order = np.lexsort((table.min(axis=1), table.argmin(axis=1)))
+                ids, x, table = ids[order], x[order], table[order].T.astype(np.float32)
+                yield record(tabled, [x.shape[1]], [ids.tobytes()], [x.tobytes()], [p.tobytes()], [table.tobytes()], [batch.column("query_blocks")[i].as_py()])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([*packed, ("query_block", pa.int64())])
@@ -133,28 +179,31 @@ def top_k(
                 d = row["size"]
                 ids, q_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
                 x, q = np.frombuffer(row["x"]).reshape(len(ids), d), np.frombuffer(row["q_x"]).reshape(len(q_ids), d)
-                table = np.frombuffer(row["distances"]).reshape(len(ids), -1)
-                to_pivots = distances(q, np.frombuffer(row["pivots"]).reshape(table.shape[1], d))
+                p = np.frombuffer(row["pivots"]).reshape(-1, d) if d else np.zeros((1, 0))
+                table = np.frombuffer(row["distances"], np.float32).reshape(len(p), len(ids))
                 norms, q_norms = (x * x).sum(axis=1), (q * q).sum(axis=1)
-                columns = np.ascontiguousarray(table.T)
-                for j in range(len(q_ids)):
-                    low = np.zeros(len(ids))
-                    for column, t in zip(columns, to_pivots[j]):
-                        np.maximum(low, np.abs(column - t), out=low)
-                    # The slack covers the rounding of norms, roots and distances.
-                    both = norms + q_norms[j]
-                    bound = (both - low * low) / 2 + 1e-9 * both + 1e-6
-                    got, scores = best(q[j], int(q_ids[j]), x, ids, norms, bound, k)
-                    yield record(out, np.full(len(got), q_ids[j]), got, scores)
-
-    # The tables are made once and written; no task feeds one Python worker from another.
-    tables = cut_lineage(blocks.mapInArrow(tabulate, "size int, ids binary, x binary, pivots binary, distances binary, query_blocks long"))
-    packs = cut_lineage(asked.mapInArrow(pack, "size int, ids binary, x binary, query_block long"))
-    work = (
-        tables.withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1))).drop("query_blocks")
-        .join(packs.withColumnsRenamed({"ids": "q_ids", "x": "q_x"}), ["size", "query_block"])
-    )
-    ranked = work.mapInArrow(search, "query_id long, vec_id long, score long").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    )
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                to_pivots = distances(q, p)
+                place = np.empty(len(ids), np.int64)
+                place[np.argsort(ids)] = np.arange(len(ids))
+                exact = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, d) < 2.0**SCORE and len(ids) < 1 << PLACE
+                for start in range(0, len(q_ids), GROUP):
+                    part = slice(start, start + GROUP)
+                    bound = upper_bounds(table, to_pivots[part], norms, q_norms[part])
+                    if exact:
+                        found = best_of_group(q[part], q_ids[part], x, ids, place, bound, k)
+                    else:
+                        found = (best(*pair, x, ids, norms, b, k) for *pair, b in zip(q[part], q_ids[part].tolist(), bound))
+                    for q_id, (got, scores) in zip(q_ids[part].tolist(), found):
+                        yield record(out, np.full(len(got), q_id), got, scores)
+
+    with batch_rows(spark, 16):
+        # The tables are made once and written; no task feeds one Python worker from another.
+        tables = cut_lineage(blocks.mapInArrow(tabulate, "size int, ids binary, x binary, pivots binary, distances binary, query_blocks long"))
+        packs = cut_lineage(asked.mapInArrow(pack, "size int, ids binary, x binary, query_block long"))
+        work = (
+            tables.withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1))).drop("query_blocks")
+            .join(packs.withColumnsRenamed({"ids": "q_ids", "x": "q_x"}), ["size", "query_block"])
+        )
+        found = cut_lineage(work.mapInArrow(search, "query_id long, vec_id long, score long"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

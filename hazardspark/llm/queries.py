@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, partition_join, pii, pivots, runs, simhash, toxicity
+from hazardspark.llm import bpe, html_text, jpeg, katz, langid, mixing, multi_index, partition_join, pii, pivots, runs, simhash, toxicity
 from hazardspark.llm.common import Query, share, table
 
 QUERIES: dict[str, Query] = {}
@@ -113,6 +113,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op11_multi_index_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id, min({'v': [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding],
+        'label': CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT)}) AS r
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id
+    ), s AS (
+      SELECT a.vec_id AS anchor_id, a.r.label = b.r.label AS same, b.vec_id,
+        CAST(list_dot_product(CAST(a.r.v AS DOUBLE[]), CAST(b.r.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.r.v) = len(b.r.v)
+    ), p AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+      CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+      vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every vector whose id is divisible by 50."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 @query("op12_suffix_tree_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of words of every document, a tenth of them with a periodic tail, and what is left when they collapse."""
