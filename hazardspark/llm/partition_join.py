@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardspark.llm.common import bounded_batches, id_and_text, record
-from hazardspark.llm.setlinks import Shingler, candidates, component_ids, exact_links, mix, most_apart, parity, read_sets, set_key
+from hazardspark.llm.setlinks import Shingler, candidates, component_ids, exact_links, mix, most_apart, parity, read_sets, set_key, whole_keys
 from hazardspark.session import cut_lineage
 
 #: Of the subsets of two, one in so many may have weight 2; a band reaches up to so many times its least size.
@@ -38,6 +38,8 @@ ONE_IN, BAND = 4, 1.6
 #: the same subsets where weight 2 is possible.
 OWN, DELETED, ASKS, ASKS_DELETED, OWN_TWO, ASKS_TWO = range(6)
 _SEGMENT, _HASH, _KIND = 20, 35, 3
+#: Rows that leave a task together.
+TOGETHER = 1 << 16
 #: Most sets that a task remembers so that it writes the signatures of copies once.
 SEEN = 1 << 20
 
@@ -191,18 +193,24 @@ def links(docs: DataFrame, prints: DataFrame, size: int = 5, percent: int = 80,
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bands, seen = Shingler(size), Bands(percent), set()
+        parts, nodes_of, held = [], [], 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 values = shingler(text)
                 node = set_key(values)
-                if node in seen:
+                if node in seen or not len(values):
                     continue
                 if len(seen) < SEEN:
                     seen.add(node)
-                found = [signatures(values, band, bands.segments(band), own)[0] for band, own in bands.roles(len(values))] if len(values) else []
-                if found:
-                    sig = np.concatenate(found)
-                    yield record(signed, sig, np.full(len(sig), node))
+                for band, own in bands.roles(len(values)):
+                    parts.append(signatures(values, band, bands.segments(band), own)[0])
+                    nodes_of.append(node)
+                    held += len(parts[-1])
+                if held >= TOGETHER:
+                    yield record(signed, np.concatenate(parts), np.repeat(np.array(nodes_of, np.int64), [len(p) for p in parts]))
+                    parts, nodes_of, held = [], [], 0
+        if held:
+            yield record(signed, np.concatenate(parts), np.repeat(np.array(nodes_of, np.int64), [len(p) for p in parts]))
 
     whole = id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
     rows = whole.mapInArrow(sign, "sig long, node long")
@@ -218,23 +226,26 @@ def links(docs: DataFrame, prints: DataFrame, size: int = 5, percent: int = 80,
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        from hazardspark.llm.setlinks import sorted_runs
-
-        for group in sorted_runs(batches, ["node"]):
-            node, n = group.column("node")[0].as_py(), group.column("n")[0].as_py()
-            sig, own, deleted = (group.column(c).to_numpy() for c in ("sig", "own", "deleted"))
+        for node, n, sig, own, deleted in whole_keys(batches, ["node", "n", "sig", "own", "deleted"]):
             band_of = (sig.view(np.uint64) >> np.uint64(_SEGMENT + _HASH + _KIND)).astype(np.int64)
-            for band, _ in bands.roles(n):
-                at = band_of == band
-                if not at.any():
+            starts = np.flatnonzero(np.concatenate(([True], (node[1:] != node[:-1]) | (band_of[1:] != band_of[:-1]))))
+            ends = np.append(starts[1:], len(node))
+            # Sets whose unshared segments alone are enough ask nothing.
+            paid = np.add.reduceat(((own > 0) & ((sig & 7) != ASKS_DELETED)).astype(np.int64), starts)
+            found = []
+            for start, end, costly in zip(starts.tolist(), ends.tolist(), paid.tolist()):
+                band = int(band_of[start])
+                segments, needed = bands.segments(band), bands.needed(int(n[start]), band)
+                if needed <= segments - costly:
                     continue
-                # Segments of weight 2 that no row shows are not counted on: that may cost a question, never a link.
-                subsets, deletions = weigh(sig[at], own[at], deleted[at], bands.segments(band), bands.needed(n, band), int(twos_seen(sig[at])))
+                part = slice(start, end)
+                subsets, deletions = weigh(sig[part], own[part], deleted[part], segments, needed, twos_seen(sig[part]))
                 bucket = np.concatenate(((subsets >> _KIND) << 1, (deletions >> _KIND) << 1 | 1))
-                if len(bucket):
-                    yield record(asked_as, bucket, np.full(len(bucket), node))
+                found.append((bucket, np.full(len(bucket), node[start])))
+            if found:
+                yield record(asked_as, *map(np.concatenate, zip(*found)))
 
-    asked = cut_lineage(costs.repartition("node").sortWithinPartitions("node").mapInArrow(ask, "bucket long, node long").distinct())
+    asked = cut_lineage(costs.repartition("node").sortWithinPartitions("node", F.col("sig")).mapInArrow(ask, "bucket long, node long").distinct())
     index = met.where(is_own).select(F.shiftleft("key", 1).alias("bucket"), "node").union(
         met.where(is_deleted).select(F.shiftleft("key", 1).bitwiseOR(F.lit(1)).alias("bucket"), "node")
     )

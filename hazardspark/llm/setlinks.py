@@ -117,6 +117,23 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
         yield pa.Table.from_batches(kept)
 
 
+def whole_keys(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first one, cut only where it changes: many short keys at a time."""
+    kept: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0
+        if cut or kept and kept[-1][0][-1] != rows[0][0]:
+            kept.append([x[:cut] for x in rows])
+            yield [np.concatenate(x) for x in zip(*kept)]
+            kept = []
+        kept.append([x[cut:] for x in rows])
+    if kept:
+        yield [np.concatenate(x) for x in zip(*kept)]
+
+
 def candidates(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that join what the pairs of a home row and another row of a bucket join, unless the sizes or the
     sketches of a pair rule it out. ``buckets`` has bucket, node, home; ``nodes`` has node, n, parity."""
@@ -276,10 +293,17 @@ def read_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_c
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
+        rows, held = [], 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 values = shingler(text)
-                yield record(schema, [set_key(values)], [values.tobytes()])
+                rows.append((set_key(values), values.tobytes()))
+                held += len(values)
+                if held >= ELEMENTS:
+                    yield record(schema, *zip(*rows))
+                    rows, held = [], 0
+        if rows:
+            yield record(schema, *zip(*rows))
 
     # A repeated id may bring other texts, whose sets nothing asks for.
     return cut_lineage(texts.mapInArrow(read, "node long, shingles binary").dropDuplicates(["node"]))
