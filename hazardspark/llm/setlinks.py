@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.llm.common import LOWER, id_and_text, record, words
+from hazardspark.llm.common import CHUNK, LOWER, id_and_text, record
 from hazardspark.llm.graph import components, stars
 from hazardspark.session import cut_lineage
 
@@ -35,28 +35,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Words(dict):
-    """Hashes of the words met so far."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 1 << 18:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 7)
-        return value
+#: Bytes \x20 and \x09-\x0D, and a random number for every byte.
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE = np.random.default_rng(7).integers(0, 2**64, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15 | 1
 
 
 class Shingler:
-    """Sets of 64-bit values, one per distinct shingle of ``size`` words; with fewer words the whole sequence is one."""
+    """Sets of 64-bit values, one per distinct shingle of ``size`` words; with fewer words the whole sequence is one.
+
+    A word's value is a polynomial of its bytes, taken from running sums over the text; a shingle's is a mix of its words.
+    """
 
-    def __init__(self, size: int):
-        self.size, self.cache = size, _Words()
+    def __init__(self, size: int, chunk: int = CHUNK):
+        self.size, self.chunk = size, chunk
         self.times = np.random.default_rng(size).integers(0, 2**63, size, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            size = max(n, 1 << 12, 2 * len(self.up))
+            inverse = np.uint64(pow(_BASE, -1, 2**64))
+            self.up, self.down = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))) for b in (np.uint64(_BASE), inverse))
+
+    def words(self, piece: bytes) -> np.ndarray:
+        b = np.frombuffer(piece, np.uint8)
+        inside = np.zeros(len(b) + 2, np.int8)
+        inside[1:-1] = ~_SPACE[b]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        self._powers(len(b) + 1)
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(_BYTE[b] * self.up[: len(b)], out=total[1:])
+        return mix((total[end] - total[start]) * self.down[start] + (end - start).astype(np.uint64) * _MIX)
 
     def __call__(self, text: str) -> np.ndarray:
-        parts = [np.fromiter(map(self.cache.__getitem__, part), np.uint64, len(part)) for part in words(text.encode().translate(LOWER))]
-        each = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        data = text.encode().translate(LOWER)
+        parts, at = [], 0
+        while at < len(data):
+            end = at + self.chunk
+            while end < len(data) and not _SPACE[data[end]]:
+                end += 1
+            parts.append(self.words(data[at:end]))
+            at = end
+        each = parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint64)
         if not len(each):
             return each
         width = min(self.size, len(each))
@@ -134,33 +156,44 @@ def whole_keys(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[
         yield [np.concatenate(x) for x in zip(*kept)]
 
 
+def _pairs(slot: np.ndarray, home: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of every home row and every row of its slot, about STEP pairs at a time; rows come sorted by slot."""
+    starts = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+    sizes = np.diff(np.append(starts, len(slot)))
+    at = np.flatnonzero(home)
+    group = np.searchsorted(starts, at, "right") - 1
+    at, group = at[sizes[group] > 1], group[sizes[group] > 1]
+    total = np.cumsum(sizes[group])
+    done = 0
+    while done < len(at):
+        stop = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + STEP, "right")))
+        n = sizes[group[done:stop]]
+        second = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[group[done:stop]], n)
+        yield np.repeat(at[done:stop], n), second
+        done = stop
+
+
 def candidates(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that join what the pairs of a home row and another row of a bucket join, unless the sizes or the
     sketches of a pair rule it out. ``buckets`` has bucket, node, home; ``nodes`` has node, n, parity."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in sorted_runs(batches, ["bucket", "salt"]):
-            node, n, home = (rows.column(c).to_numpy() for c in ("node", "n", "home"))
-            if len(node) < 2 or not home.any():
-                continue
-            bits = np.frombuffer(b"".join(rows.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY)
-            at = np.flatnonzero(home)
-            step = max(1, STEP // len(node))
-            for start in range(0, len(at), step):
-                mine = at[start : start + step]
-                low, high = np.minimum(n[mine][:, None], n[None, :]), np.maximum(n[mine][:, None], n[None, :])
-                i, j = np.nonzero((100 * low >= percent * high) & (node[mine][:, None] != node[None, :]))
-                for k in range(0, len(i), STEP):
-                    x, y = mine[i[k : k + STEP]], j[k : k + STEP]
-                    apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-                    near = apart <= most_apart(n[x], n[y], percent)
-                    if near.any():
-                        yield record(out, *stars(node[x[near]], node[y[near]]))
-
-    dealt = deal(buckets, ["bucket"]).join(nodes.select("node", "n", "parity"), "node")
-    ordered = dealt.select("bucket", "salt", "node", "home", "n", "parity").repartition("bucket", "salt")
-    return cut_lineage(ordered.sortWithinPartitions("bucket", "salt").mapInArrow(run, "a long, b long").distinct())
+        for slot, node, home, n, sketch in whole_keys(batches, ["slot", "node", "home", "n", "parity"]):
+            bits = np.frombuffer(b"".join(sketch.tolist()), np.uint64).reshape(-1, PARITY)
+            for x, y in _pairs(slot, home):
+                fit = (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (node[x] != node[y])
+                x, y = x[fit], y[fit]
+                apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+                near = apart <= most_apart(n[x], n[y], percent)
+                if near.any():
+                    yield record(out, *stars(node[x[near]], node[y[near]]))
+
+    # Two buckets of one slot only make more pairs to be ruled out.
+    dealt = deal(buckets, ["bucket"]).withColumn("slot", F.xxhash64("bucket", "salt"))
+    ordered = dealt.join(nodes.select("node", "n", "parity"), "node").select("slot", "node", "home", "n", "parity")
+    ordered = ordered.repartition("slot").sortWithinPartitions("slot")
+    return cut_lineage(ordered.mapInArrow(run, "a long, b long").distinct())
 
 
 def shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:

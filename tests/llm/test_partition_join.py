@@ -67,6 +67,19 @@ def test_join_odd_rows(spark, odd, empty):
     assert partition_join.join(empty).count() == 0
 
 
+def test_shingles_are_those_of_the_words(odd):
+    """Equal word sequences have equal values whatever surrounds them and wherever a long text is cut; others do not."""
+    rng = np.random.default_rng(7)
+    shingler, short = setlinks.Shingler(5), setlinks.Shingler(5, chunk=40)
+    for _ in range(100):
+        w = [("aé" * int(rng.integers(1, 30)))[: int(rng.integers(1, 30))] + str(rng.integers(0, 9)) for _ in range(int(rng.integers(0, 60)))]
+        one, two = " ".join(w).upper().replace("É", "é"), "\t \n".join(["", *w, ""])
+        values = shingler(one)
+        assert (values == shingler(two)).all() and (values == short(two)).all()
+        assert len(values) == (len({tuple(w[k : k + 5]) for k in range(len(w) - 4)}) or min(1, len(w)))
+    assert len(shingler("x" * 3_000_000)) == 1
+
+
 def test_weights_cover_what_may_differ():
     """Whatever the costs, pairs within the bound share an asked signature: all segments differ by less than their weight somewhere."""
     rng = np.random.default_rng(6)
