@@ -41,7 +41,8 @@ def dedupe_articles(df: DataFrame, order: list[str]) -> DataFrame:
     return keep_first(by_page, content, order) if content else by_page
 
 
-def _title_and_url(df: DataFrame, title: str, url: str) -> DataFrame:
+def title_and_url(df: DataFrame, title: str, url: str) -> DataFrame:
+    """``_title`` and ``_url``: the keys that rows are told apart by."""
     return df.withColumns(
         {"_title": T.title_hash(F.col(title)), "_url": T.base_url(F.coalesce(F.col(url), F.lit("")))}
     )
@@ -49,7 +50,7 @@ def _title_and_url(df: DataFrame, title: str, url: str) -> DataFrame:
 
 def keep_first_title_then_url(df: DataFrame, title: str, url: str, order: str) -> DataFrame:
     """First row per title, then first per base url among those kept (two passes)."""
-    out = keep_first(_title_and_url(df, title, url), ["_title"], [order])
+    out = keep_first(title_and_url(df, title, url), ["_title"], [order])
     return keep_first(out, ["_url"], [order]).drop("_title", "_url")
 
 
@@ -63,7 +64,7 @@ def keep_first_title_or_url(df: DataFrame, title: str, url: str, order: str) ->
     few rounds suffice unless rejections chain. ``order`` must be unique.
     """
     undecided = cut_lineage(
-        _title_and_url(df, title, url).groupBy("_title", "_url").agg(F.min(order).alias("_o"))
+        title_and_url(df, title, url).groupBy("_title", "_url").agg(F.min(order).alias("_o"))
     )
     kept = []
     while not undecided.isEmpty():
