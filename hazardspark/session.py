@@ -64,3 +64,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(shared_dir(spark), "checkpoints"))
     return df.checkpoint(eager=True)
+
+
+def rewritten(df: DataFrame, name: str = "rewritten") -> DataFrame:
+    """The rows written as Parquet in the shared folder and read again, for loops that join their own results.
+
+    A checkpoint keeps the size estimate of its plan. Joins multiply estimates, so one that is fed back squares it every
+    round, until the driver spends its memory on the digits; a written table has the size of its files.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
