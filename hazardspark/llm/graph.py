@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.session import cut_lineage
+from hazardspark.session import cut_lineage, rewritten
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -27,18 +27,9 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[own], values[label[own]]
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """The same rows without what the optimizer has inferred of them.
-
-    A checkpoint keeps the constraints of its plan; over rounds of joins and renamings their number grows without bound
-    until the driver plans for minutes. Generated columns have none.
-    """
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
-
-
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node and root (the least node it reaches) of every node that has an edge, from edges (a, b)."""
-    now = cut_lineage(plain(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()))
+    now = rewritten(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
     def stamp(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first())
@@ -49,13 +40,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         # Large star: every greater neighbour of a node points to the node's least neighbour.
         both = cut_lineage(now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        least = cut_lineage(plain(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))))
+        least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = cut_lineage(plain(large.where("a <> b")))
+        large = cut_lineage(large.where("a <> b"))
         # Small star: a node and its lesser neighbours point to the least of them.
         least = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = cut_lineage(plain(small.union(least.select("a", F.col("m").alias("b"))).distinct()))
+        now = rewritten(small.union(least.select("a", F.col("m").alias("b"))).distinct())
         after = stamp(now)
         if after == before:
             break
