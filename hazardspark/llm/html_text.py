@@ -21,6 +21,7 @@ import hashlib
 import html
 import re
 from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +33,7 @@ from hazardspark.session import cut_lineage
 
 #: Hosts whose winners (a path each) may be broadcast; more hosts meet their pages by a shuffle, with the same rows.
 FEW = 100_000
-#: A child with this share of its parent's text is the container in its place.
+#: One of several articles with this share of their text is the page's.
 MOST = 0.75
 #: A path of more characters is replaced by its digest, and goes on from there.
 LONG = 1024
@@ -73,11 +74,17 @@ _SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"[0-9]+")
 
 
+_COMMENTS = frozenset("comment comments disqus discussion replies reply respond".split())
+#: A block whose name is only in part a listed word goes if so many hundredths of it are links, or if it holds fewer
+#: hundredths of the page's text than this.
+LINKED, SLIGHT = 33, 15
+
+
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "text", "links", "children", "first", "last")
+    __slots__ = ("tag", "path", "parent", "skip", "doubt", "text", "links", "children", "first", "last")
 
-    def __init__(self, tag: str, path: str, parent: Node | None, skip: bool, first: int):
-        self.tag, self.path, self.parent, self.skip, self.first, self.last = tag, path, parent, skip, first, -1
+    def __init__(self, tag: str, path: str, parent: Node | None, skip: bool, doubt: int, first: int):
+        self.tag, self.path, self.parent, self.skip, self.doubt, self.first, self.last = tag, path, parent, skip, doubt, first, -1
         self.text, self.links, self.children = 0, 0, []
 
 
@@ -86,17 +93,69 @@ def _boilerplate(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if "style" in attributes and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes["style"], re.I):
         return True
+    if tag == "article":
+        return bool({"comment", "comments", "reply"} & set(_SPLIT.split(attributes.get("class", "").lower())))
+    return False
+
+
+def _words_of(name: str) -> list[str]:
+    return [w.lower() for w in _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name)) if w]
+
+
+def _doubt(tag: str, attributes: dict[str, str]) -> int:
+    """What an element's names say: 3 reader comments, 2 a name that is a listed word throughout, 1 in part, 0 nothing."""
     if tag in ("html", "body", "article", "main"):
-        names = attributes.get("class", "") if tag == "article" else ""
-        return bool({"comment", "comments", "reply"} & set(_SPLIT.split(names.lower())))
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return len(names) > 1 and not _WORDS.isdisjoint(w.lower() for w in _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()))
+        return 0
+    names = [_words_of(n) for n in (*attributes.get("class", "").split(), attributes.get("id", ""))]
+    listed = [n for n in names if n and not _WORDS.isdisjoint(n)]
+    if not listed:
+        return 0
+    whole = [n for n in listed if _WORDS.issuperset(n)]
+    return 3 if any(_COMMENTS & set(n) for n in whole) else 2 if whole else 1
+
+
+def _settle(root: Node, blocks: list[str | None], nodes: list[Node], doubted: list[Node]) -> None:
+    """Take out the doubted blocks, given in page order, that the page's text speaks against.
+
+    A name alone drops no block that holds the page's main article, or, on a page without one, most of its text that is
+    not links (reader comments apart). A name that is a listed word only in part drops a block only if it is
+    mostly links or slight. A page does not come out empty while a doubted block has text.
+    """
+    page = weight(root)
+    main = max((n for n in nodes if n.tag in _WHOLE and weight(n)), key=weight, default=None)
+    gone, end = [], 0
+    for node in doubted:
+        if node.first < end or node.first == node.last:
+            continue
+        if main is not None and node.first <= main.first and main.last <= node.last:
+            continue
+        mine = weight(node)
+        if main is None and node.doubt < 3 and mine >= (MOST if node.doubt == 2 else 0.5) * page:
+            continue
+        if node.doubt == 1 and 100 * node.links < LINKED * node.text and 100 * mine >= SLIGHT * page:
+            continue
+        gone.append(node)
+        end = node.last
+    if gone and page == sum(map(weight, gone)):
+        gone.remove(max(gone, key=weight))
+    for node in gone:
+        blocks[node.first : node.last] = [None] * (node.last - node.first)
+        above, text, links = node, node.text, node.links
+        while above is not None:
+            above.text -= text
+            above.links -= links
+            above = above.parent
+    starts = [n.first for n in gone]
+    for node in nodes:
+        k = bisect_right(starts, node.first) - 1
+        if k >= 0 and node.last <= gone[k].last and node is not gone[k]:
+            node.text = node.links = 0
 
 
-def parse(page: str) -> tuple[Node, list[str], list[Node]]:
-    """The root, the blocks of text in page order, and all container nodes. A node's blocks are first to last - 1."""
-    root = Node("", "", None, False, 0)
-    stack, blocks, nodes, parts = [root], [], [], []
+def parse(page: str) -> tuple[Node, list[str | None], list[Node]]:
+    """The root, the blocks of text in page order (None: taken out), and all container nodes. A node's blocks are first to last - 1."""
+    root = Node("", "", None, False, 0, 0)
+    stack, blocks, nodes, parts, doubted = [root], [], [], [], []
     is_open: Counter = Counter()
     last_end = page.rfind(">")
 
@@ -181,11 +240,16 @@ def parse(page: str) -> tuple[Node, list[str], list[Node]]:
             attributes = {a[1].lower(): html.unescape(a[2] or a[3] or a[4] or "") for a in _ATTRIBUTE.finditer(rest)}
         above = stack[-1]
         skip = above.skip or _boilerplate(tag, attributes)
+        doubt = _doubt(tag, attributes) if attributes and not skip else 0
+        # What is inside a line of text is not weighed.
+        skip = skip or doubt > 0 and tag not in _BLOCKS
         names = ".".join(sorted(set(_DIGITS.sub("#", attributes.get("class", "")).split())))
         path = f"{above.path}>{tag}.{names}" if names else f"{above.path}>{tag}"
         if len(path) > LONG:
             path = hashlib.md5(path.encode("utf-8", "replace")).hexdigest()
-        node = Node(tag, path, above, skip, len(blocks))
+        node = Node(tag, path, above, skip, doubt, len(blocks))
+        if doubt and not skip:
+            doubted.append(node)
         if not rest.endswith("/") or tag in _BLOCKS or tag in _RAW:
             stack.append(node)
             is_open[tag] += 1
@@ -204,6 +268,8 @@ def parse(page: str) -> tuple[Node, list[str], list[Node]]:
     close(1)
     flush()
     root.last = len(blocks)
+    if doubted:
+        _settle(root, blocks, nodes, doubted)
     return root, blocks, nodes
 
 
@@ -212,29 +278,39 @@ def weight(node: Node) -> int:
     return max(node.text - node.links, 0)
 
 
-def own_container(root: Node) -> Node:
-    """From the root down while one child has most of the text; not past an article, nor past text outside all children."""
+def own_container(root: Node, nodes: list[Node]) -> Node:
+    """The page's article or main if one has most of the text of all of these; else from the root down while one child
+    has all the text that is not links."""
+    whole, end = [], 0
+    for node in nodes:
+        if node.tag in _WHOLE and node.first >= end and weight(node):
+            whole.append(node)
+            end = node.last
+    if whole:
+        best = max(whole, key=weight)
+        if weight(best) >= MOST * sum(map(weight, whole)):
+            return best
     now = root
-    while now.children and now.tag not in _WHOLE:
+    while now.children:
         best = max(now.children, key=weight)
-        loose = now.text - now.links - sum(n.text - n.links for n in now.children)
-        if loose > 0 or weight(best) < MOST * weight(now) or not weight(best):
+        if not weight(best) or weight(best) < weight(now):
             break
         now = best
     return now
 
 
 def text_of(page: str, path: str | None) -> str:
-    """Blocks of the containers on ``path``; of the page's own container if there is none or it has no text."""
+    """Blocks of the containers on ``path``; of the page's own container if that has more than twice their text."""
     root, blocks, nodes = parse(page)
     chosen, end = [], -1
     for node in nodes:
         if node.path == path and node.first >= end and weight(node):
             chosen.append(node)
             end = node.last
-    if not chosen:
-        chosen = [own_container(root)]
-    return "\n".join(b for n in chosen for b in blocks[n.first : n.last])
+    own = own_container(root, nodes)
+    if 2 * sum(map(weight, chosen)) <= weight(own) or not chosen:
+        chosen = [own]
+    return "\n".join(b for n in chosen for b in blocks[n.first : n.last] if b is not None)
 
 
 def host_of(url) -> F.Column:
@@ -252,7 +328,8 @@ def winners(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
         for batch in batches:
             votes, text = Counter(), Counter()
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                node = own_container(parse(page)[0])
+                root, _, nodes = parse(page)
+                node = own_container(root, nodes)
                 if weight(node):
                     votes[host, node.path] += 1
                     text[host, node.path] += weight(node)

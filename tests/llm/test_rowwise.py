@@ -142,7 +142,8 @@ def test_html_consensus_and_odd_pages(spark):
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash")).withColumn("path", F.lit("clash"))
     got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
-    assert got[5] == "brief" and got[6] == "" and got[7] == "alone" and got[None] == ""
+    # A page whose text lies off its host's path keeps its own text, all of it.
+    assert got[5].startswith("brief\na long list") and len(got[5]) > 400 and got[6] == "" and got[7] == "alone" and got[None] == ""
     assert html_text.extract(pages.where("page_id > 99")).count() == 0
 
 
@@ -158,6 +159,38 @@ def test_html_keeps_what_lies_beside_the_largest_part(spark, tag, inner):
     assert html_text.text_of(page, None) == text and {r["text"] for r in html_text.extract(pages).collect()} == {text}
 
 
+@pytest.mark.parametrize("name", ["layout with-sidebar", "has-comments", "related-article", "page-header-fixed", "content ad-free", "toc-enabled", "post-content share-page", "comments", "sidebar"])
+def test_html_no_name_alone_empties_a_page(name):
+    article = "<article><h1>Heading</h1><p>" + "words of the article " * 20 + "</p><div class='ad'>buy it</div></article>"
+    text = "Heading\n" + ("words of the article " * 20).strip()
+    assert html_text.text_of(f"<body><nav>menu</nav><div class='{name}'>{article}</div><footer>f</footer></body>", None) == text
+    assert html_text.text_of(f"<body><nav>menu</nav><div class='{name}'>{article.replace('article>', 'div>')}</div></body>", None).startswith("Heading\nwords")
+
+
+def test_html_sections_that_are_not_boilerplate_stay():
+    long, rest = "words of the first section " * 60, "words of the notice board " * 15
+    for name in ("recommended-reading", "notice-board", "other"):
+        page = f"<body><main><section><p>{long}</p></section><section class='{name}'><p>{rest}</p></section></main></body>"
+        assert html_text.text_of(page, None) == f"{long.strip()}\n{rest.strip()}"
+        page = page.replace("main>", "div>")
+        assert html_text.text_of(page, None) == f"{long.strip()}\n{rest.strip()}"
+    links = "<a href='x'>a link to elsewhere</a> " * 15
+    assert html_text.text_of(f"<main><p>{long}</p><section class='recommended-reading'><p>{links}</p></section></main>", None) == long.strip()
+    comments = "<section class='comments'><p>" + "what a reader says " * 90 + "</p></section>"
+    assert html_text.text_of(f"<body><article><p>{long[:400]}</p></article>{comments}</body>", None) == long[:400].strip()
+    assert html_text.text_of(f"<body><div class='text'><p>{long[:400]}</p></div>{comments}</body>", None) == long[:400].strip()
+
+
+def test_html_hosts_of_two_templates(spark):
+    """Ties of votes go to the path with more text; pages of the other template keep their own text."""
+    one = "<div class='a'><p>" + "first template " * 30 + "</p></div><div class='links'><a href='x'>more</a></div>"
+    two = "<main class='b'><p>" + "second template " * 40 + "</p></main><div><a href='x'>more</a></div>"
+    pages = spark.createDataFrame([(i, f"http://h.example/{i}", one if i % 2 else two) for i in range(6)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert got == {i: ("first template " * 30 if i % 2 else "second template " * 40).strip() for i in range(6)}
+    assert html_text.winners(pages).first()["path"].endswith("main.b")
+
+
 def test_html_hard_pages_take_linear_time():
     for page in ("<div>" * 9000 + "x", "<" * 90_000, "<a " * 40_000, "<b>" * 9000 + "</i>" * 9000 + "<p>x</p>" * 4000, "<a href='" * 9000):
         html_text.text_of(page, None)
