@@ -52,15 +52,41 @@ def test_top_k_is_exact_with_ties_and_odd_rows(spark, block, queries):
     assert pivots.top_k(frame.where("vec_id > 1000"), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_raked_margins_meet_their_targets(spark):
-    cells = spark.createDataFrame(
-        [(s, la, t, 1 + 7 * i) for i, (s, la, t) in enumerate((s, la, t) for s in "abc" for la in ("en", "fr") for t in ("x", "y"))], "m_source string, m_lang string, m_topic string, observed long"
-    )
-    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.6, "fr": 0.4}, "topic": {"x": 0.5, "y": 0.5}}
-    got = mixing.rake(cells, targets, rounds=7).collect()
+def expected_margins(cells, targets, fraction, total):
+    """What each margin shares out: no category gets more than it has, the others share the rest by their targets."""
+    out = {}
     for margin, want in targets.items():
-        for category, share in want.items():
-            assert sum(r["raked"] for r in got if r[f"m_{margin}"] == category) == pytest.approx(share, abs=1e-4)
+        seen = {c: sum(r["observed"] for r in cells if r[f"m_{margin}"] == c) for c in want}
+        whole, left, rest = sum(want.values()), fraction * total, dict(want)
+        got = {}
+        while True:
+            level = left / sum(rest.values()) if rest else 0
+            full = [c for c in rest if rest[c] * level >= seen[c]]
+            if not full:
+                break
+            for c in full:
+                got[c] = seen[c]
+                left -= seen[c]
+                del rest[c]
+        out[margin] = got | {c: w * level for c, w in rest.items()}
+        assert whole > 0
+    return out
+
+
+@pytest.mark.parametrize("fraction", [0.05, 0.3, 0.6])
+def test_margins_meet_their_targets_under_the_bound(spark, fraction):
+    """Small categories are wanted more than they have; full cells are made up for by others of their category."""
+    rng = np.random.default_rng(8)
+    rows = [(s, la, t, int(1 + 400 * a * b * c * rng.random())) for s, a in zip("abc", (9, 3, 1)) for la, b in (("en", 8), ("fr", 3)) for t, c in (("x", 9), ("y", 1), ("z", 4))]
+    cells = spark.createDataFrame(rows, "m_source string, m_lang string, m_topic string, observed long")
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.6, "fr": 0.4}, "topic": {"x": 0.5, "y": 0.1, "z": 0.4}}
+    got = mixing.calibrate(cells, targets, fraction).collect()
+    want = expected_margins(got, targets, fraction, sum(r[3] for r in rows))
+    for margin, shares in want.items():
+        for category, tokens in shares.items():
+            kept = sum(r["probability"] * r["observed"] for r in got if r[f"m_{margin}"] == category)
+            assert kept == pytest.approx(tokens, rel=0.01), (margin, category)
+    assert all(0 <= r["probability"] <= 1 for r in got)
 
 
 def test_mixing_odd_rows(odd, empty):
@@ -73,10 +99,25 @@ def test_mixing_odd_rows(odd, empty):
     assert only.count() == 4 and mixing.mix(empty).count() == 0
 
 
-def test_mixed_tokens_are_near_the_fraction(spark):
+def test_kept_margins_of_the_documents(spark):
+    """Expected kept tokens of every category are within one per cent of what the margin shares out to it."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    kept, whole = mixing.mix(docs).agg(F.sum(F.when(F.col("m_kept"), F.col("m_tokens"))), F.sum("m_tokens")).first()
-    assert abs(kept / whole - mixing.FRACTION) < 0.1
+    mixed = mixing.mix(docs)
+    cells = mixed.groupBy("m_source", "m_lang", "m_topic").agg(F.sum("m_tokens").alias("observed"), F.sum(F.col("m_tokens") * F.col("m_probability")).alias("kept")).collect()
+    total = sum(r["observed"] for r in cells)
+    powers = {}
+    for margin in ("source", "lang", "topic"):
+        seen = defaultdict(int)
+        for r in cells:
+            seen[r[f"m_{margin}"]] += r["observed"]
+        powers[margin] = {c: (n / total) ** mixing.POWER for c, n in seen.items() if n}
+    for margin, shares in expected_margins(cells, powers, mixing.FRACTION, total).items():
+        for category, tokens in shares.items():
+            assert sum(r["kept"] for r in cells if r[f"m_{margin}"] == category) == pytest.approx(tokens, rel=0.01), (margin, category)
+    kept = mixed.agg(F.sum(F.when(F.col("m_kept"), F.col("m_tokens")))).first()[0]
+    assert abs(kept / total - mixing.FRACTION) < 0.05
+    none = mixing.mix(docs, {"lang": {"en": 0.0}}).where("lang = 'en' AND m_tokens > 0")
+    assert none.count() > 0 and none.where("m_kept").count() == 0
 
 
 # 7. Language model
