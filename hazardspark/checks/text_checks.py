@@ -323,6 +323,24 @@ def d1(spark, sf):
     return _dates(spark, sf).select("o_orderkey", D.parse_event_date(F.col("s")).alias("p")).select("o_orderkey", "p.*")
 
 
+@check("d1_textual_date", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderdate::DATE END AS date FROM orders")
+def d1b(spark, sf):
+    """Dates with month names: Portuguese in full, English in full, Spanish by three letters; figures do not fit."""
+    portuguese = "janeiro fevereiro março abril maio junho julho agosto setembro outubro novembro dezembro"
+    english = "january february march april may june july august september october november december"
+    spanish = "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre"
+    pick = lambda words: F.element_at(F.array(*[F.lit(w) for w in words.split()]), F.month("o_orderdate"))
+    d, y, k = F.dayofmonth("o_orderdate"), F.year("o_orderdate"), F.col("o_orderkey") % 4
+    text = (
+        F.when(k == 0, F.concat_ws(" ", d, F.lit("de"), F.initcap(pick(portuguese)), F.lit("de"), y))
+        .when(k == 1, F.concat(F.upper(pick(english)), F.lit("  "), d, F.lit(", "), y))
+        .when(k == 2, F.concat(F.lit(" "), d, F.lit(" "), F.left(pick(spanish), F.lit(3)), F.lit(". "), y))
+        .otherwise(F.date_format("o_orderdate", "dd.MM.yyyy"))
+    )
+    date = D.parse_text_date(F.col("s"), ["{d} de {M} de {y}", "{M} {d}, {y}", "{d} {M} {y}"])
+    return table(spark, sf, "orders").select("o_orderkey", text.alias("s")).select("o_orderkey", date.alias("date"))
+
+
 @check(
     "d2_published_date",
     "SELECT event_id, coalesce(strftime(t,'%d/%m/%Y'),'') AS date, year(t)::INTEGER AS year, month(t)::INTEGER AS month, "

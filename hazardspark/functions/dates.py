@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hazardspark import vocab
-from hazardspark.functions.text import safe_int
+from hazardspark.functions.text import normalize, safe_int
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -33,6 +35,44 @@ def parse_date(col: Column) -> Column:
     )
 
 
+def parse_text_date(col: Column, formats: list[str], months: dict[str, int] | None = None) -> Column:
+    """Date of a text by the first of the caller's formats that fits the whole of it; nothing is guessed.
+
+    A format has ``{d}``, ``{m}`` (a number), ``{M}`` (a month's name) and ``{y}`` (four figures) between literal text,
+    as in ``"{d} de {M} de {y}"``. Names of months are compared without accents and case, a final full stop and, where
+    no other month begins alike, by their first letters (three at least); ``months`` maps them to 1-12 (default:
+    Portuguese, English, Spanish and French). White space counts as one blank; impossible days are null.
+    """
+    names = {_plain(n): m for n, m in (months or vocab.MONTH_NAMES).items()}
+    short: dict[str, set[int]] = {}
+    for name, month in names.items():
+        for n in range(3, len(name)):
+            short.setdefault(name[:n], set()).add(month)
+    spelled = {**{s: m.copy().pop() for s, m in short.items() if len(m) == 1}, **names}
+    numbers = F.create_map(*[F.lit(x) for name, month in sorted(spelled.items()) for x in (name, f"{month:02d}")])
+    text = F.regexp_replace(F.trim(normalize(col)), r"\s+", " ")
+    parts = {"d": r"(\d{1,2})", "m": r"(\d{1,2})", "M": r"([a-z]{3,})\.?", "y": r"(\d{4})"}
+    found = []
+    for form in formats:
+        fields = re.findall(r"\{([dmMy])\}", form)
+        if sorted(f.lower() for f in fields) != ["d", "m", "y"]:
+            raise ValueError(f"a format has one day, month and year: {form}")
+        literal = [re.escape(_plain(x)) for x in re.split(r"\{[dmMy]\}", form)]
+        shape = "^" + literal[0] + "".join(parts[f] + x for f, x in zip(fields, literal[1:])) + "$"
+        got = {f.lower(): F.regexp_extract(text, shape, i) for i, f in enumerate(fields, 1)}
+        if "M" in fields:
+            got["m"] = F.try_element_at(numbers, got["m"])
+        fits = F.rlike(text, F.lit(shape))
+        found.append(F.when(fits, F.try_to_date(F.concat_ws("-", got["y"], F.lpad(got["m"], 2, "0"), F.lpad(got["d"], 2, "0")), "yyyy-MM-dd")))
+    return F.coalesce(*found)
+
+
+def _plain(text: str) -> str:
+    """A literal as ``normalize`` makes a column."""
+    plain = unicodedata.normalize("NFD", text.lower())
+    return "".join(c for c in plain if not unicodedata.combining(c))
+
+
 def parse_event_date(col: Column) -> Column:
     """struct(date, year, month, day)."""
     d = parse_date(col)

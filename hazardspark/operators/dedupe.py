@@ -37,10 +37,15 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def dedupe_articles(df: DataFrame, order: list[str]) -> DataFrame:
     """First per page, then first per (district, parish, date, fatalities, injured)."""
     by_page = keep_first(df, ["page"], order)
-    content = [c for c in ("district", "parish", "date", "fatalities", "injured") if c in df.columns]
+    content = content_keys(df)
     return keep_first(by_page, content, order) if content else by_page
 
 
+def content_keys(df: DataFrame) -> list[str]:
+    """The columns that tell articles of one event apart from others."""
+    return [c for c in ("district", "parish", "date", "fatalities", "injured") if c in df.columns]
+
+
 def title_and_url(df: DataFrame, title: str, url: str) -> DataFrame:
     """``_title`` and ``_url``: the keys that rows are told apart by."""
     return df.withColumns(

@@ -7,9 +7,10 @@ unless the operator says otherwise.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hazardspark import vocab
@@ -304,15 +305,19 @@ def cascade(
     return drop_empty_rows(out.drop("_title", "_text", "_score"))
 
 
-def cascade_counts(
+def observed_cascade(
     df: DataFrame,
     districts: DataFrame,
     parishes: DataFrame,
     as_of: str | dt.date,
     order: list[str],
     max_age_days: int = 365,
-) -> DataFrame:
-    """Rows left after every stage, in the reported order, as (stage_no, stage, n_rows)."""
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The rows of ``cascade``, and a function that gives the rows left after every stage as (stage_no, stage, n_rows).
+
+    The counts are metrics of the one pass that computes the rows: call the function after an action on them (it waits
+    for one). The stages are counted in the reported order; the rows are the same in any order of the tests.
+    """
     flagged = with_place_flags(_scored(_prepared(df)), districts, parishes, True)
     geo = F.col("_district_ok") & F.col("_parish_ok") & url_is_home_or_neutral(F.col("_url"), True)
     stages = [("geographic", geo), *_row_stages(as_of, max_age_days)]
@@ -320,22 +325,41 @@ def cascade_counts(
     passed = F.lit(len(stages))
     for i, (_, test) in reversed(list(enumerate(stages))):
         passed = F.when(F.coalesce(test, F.lit(False)), passed).otherwise(i)
-    flagged = T.computed_once(flagged, _passed=passed)
-    tests = [("loaded", F.lit(0)), *[(n, F.lit(i)) for i, (n, _) in enumerate(stages, 1)]]
-    row_level = flagged.agg(*[F.count_if(F.col("_passed") >= i).alias(n) for n, i in tests])
-    survivors = flagged.where(F.col("_passed") == len(stages))
-    by_page = survivors.agg(F.count_distinct(F.coalesce("page", F.lit(""))).alias("page_dedupe"))
-    unique = cascade(df, districts, parishes, as_of, order, max_age_days).agg(
-        F.count(F.lit(1)).alias("content_dedupe")
+    names = ["loaded", *[n for n, _ in stages]]
+    row_level, by_page, by_content = Observation(), Observation(), Observation()
+    rows = T.computed_once(flagged, _passed=passed).observe(
+        row_level, *[F.count_if(F.col("_passed") >= i).alias(n) for i, n in enumerate(names)]
     )
-    out, number = None, 0
-    for part in (row_level, by_page, unique):
-        rows = []
-        for name in part.columns:
-            rows.append(
-                F.struct(F.lit(number).alias("stage_no"), F.lit(name).alias("stage"), F.col(name).alias("n_rows"))
-            )
-            number += 1
-        part = part.select(F.inline(F.array(*rows)))
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows = rows.where(F.col("_passed") == len(stages)).select(*df.columns, "_text", "_score")
+    rows = dedupe.keep_first(rows, ["page"], order).observe(by_page, F.count(F.lit(1)).alias("page_dedupe"))
+    content = dedupe.content_keys(rows)
+    rows = dedupe.keep_first(rows, content, order) if content else rows
+    rows = rows.observe(by_content, F.count(F.lit(1)).alias("content_dedupe"))
+    rows = rows.withColumns(
+        {
+            "relevance_score": F.col("_score"),
+            "matched_categories": X.relevance_categories(F.col("_text")),
+            "evento_nome": X.storm_name(F.col("page")),
+        }
+    )
+
+    def counts() -> DataFrame:
+        got = {**row_level.get, **by_page.get, **by_content.get}
+        found = [(i, n, got[n]) for i, n in enumerate([*names, "page_dedupe", "content_dedupe"])]
+        return df.sparkSession.createDataFrame(found, "stage_no int, stage string, n_rows long")
+
+    return drop_empty_rows(rows.drop("_text", "_score")), counts
+
+
+def cascade_counts(
+    df: DataFrame,
+    districts: DataFrame,
+    parishes: DataFrame,
+    as_of: str | dt.date,
+    order: list[str],
+    max_age_days: int = 365,
+) -> DataFrame:
+    """Rows left after every stage, in the reported order, as (stage_no, stage, n_rows); the rows go nowhere."""
+    rows, counts = observed_cascade(df, districts, parishes, as_of, order, max_age_days)
+    rows.write.format("noop").mode("overwrite").save()
+    return counts()

@@ -50,7 +50,7 @@ def locate(events: DataFrame, centroids: DataFrame) -> DataFrame:
     for column, event_col, _ in LEVELS:
         # Rows that need nothing, or have no name, get one of many keys that no name has: they never meet
         # the lookup and do not gather in one task.
-        apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in ("latitude", "longitude", event_col)]), F.lit(4096)).cast("string"))
+        apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns]), F.lit(4096)).cast("string"))
         out = out.withColumn(f"_k_{event_col}", F.coalesce(F.when(needs, _key(F.col(event_col))), apart))
         out = out.join(_level(centroids, column, event_col), f"_k_{event_col}", "left")
     point = F.coalesce(*[F.col(f"_p_{e}") for _, e, _ in LEVELS])

@@ -283,3 +283,15 @@ LANDSLIDE_RISK = {
 }
 RAINY_MONTHS = [10, 11, 12, 1, 2, 3]
 DRY_MONTHS = [6, 7, 8, 9]
+
+# Names of the months in Portuguese, English, Spanish and French.
+MONTH_NAMES = {
+    name: number
+    for language in (
+        "janeiro fevereiro março abril maio junho julho agosto setembro outubro novembro dezembro",
+        "january february march april may june july august september october november december",
+        "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+        "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    )
+    for number, name in enumerate(language.split(), 1)
+}
