@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardspark.checks import frames as fr
 from hazardspark.checks.base import check, table
@@ -31,6 +32,26 @@ def s1(spark, sf):
     return tables.articles(spark, path).select("ID", "title", "type", "date", "year", "parish", "page", "fatalities")
 
 
+@check(
+    "s1_csv_rejects",
+    "SELECT o_orderkey AS id, o_orderkey % 50 IN (1, 2, 3) AS rejected, CASE WHEN o_orderkey % 50 NOT IN (1, 2, 3) THEN o_custkey END AS n FROM orders",
+)
+def s1b(spark, sf):
+    """Every fiftieth order has a bad number, a cell too few or one too many; quoted cells hold line breaks."""
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey") % 50
+    line = F.concat_ws(
+        ",", "o_orderkey", F.when(k == 1, F.lit("x1")).when(k != 2, F.col("o_custkey").cast("string")),
+        F.concat(F.lit('"a ""quoted"" cell\n'), "o_orderpriority", F.lit('"')), F.when(k == 3, F.lit("more")),
+    )
+    path = fresh_dir(spark, "rejects-csv")
+    o.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("note", T.StringType())])
+    good, bad = tables.csv_with_rejects(spark, path, schema, header=False)
+    return good.select("id", F.lit(False).alias("rejected"), "n").unionByName(
+        bad.select(F.substring_index("record", ",", 1).cast("long").alias("id"), F.lit(True).alias("rejected"), F.lit(None).cast("long").alias("n"))
+    )
+
+
 @check(
     "s2_eswd_scan",
     "SELECT 'E'||event_id AS \"ID\", ts::DATE AS \"DATE\", strftime(ts,'%H:%M') AS \"HOUR\", 'P'||(event_id%31) AS \"PLACE\" FROM events WHERE event_id % 10 > 0",

@@ -18,6 +18,26 @@ def csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
+REJECTED = "_rejected"
+
+
+def csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV, and its malformed records as (file, record).
+
+    A record with too few or too many cells, or a cell that its column's type cannot hold, is rejected as a whole instead
+    of leaving nulls among the good rows. Without line breaks in cells (``line_breaks=False``) a file is divided among
+    tasks; with them it is read by one.
+    """
+    options = CSV_OPTIONS | {"multiLine": str(line_breaks).lower(), "header": str(header).lower(), "columnNameOfCorruptRecord": REJECTED, "columnPruning": "false"}
+    read = spark.read.options(**options).schema(T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])).csv(path)
+    # A cell that nothing reads is not parsed and cannot be malformed: both sides read them all, whatever is selected later.
+    cells = [F.col(f"`{c}`") for c in schema.fieldNames()]
+    good = read.where(F.col(REJECTED).isNull() & (F.hash(*cells) % 2 < 2)).select(*cells)
+    record = F.coalesce(F.col(REJECTED), F.to_json(F.struct(*cells)))
+    bad = read.where(F.col(REJECTED).isNotNull()).select(F.input_file_name().alias("file"), record.alias("record"))
+    return good, bad
+
+
 def articles(spark: SparkSession, path: str) -> DataFrame:
     return csv_table(spark, path, schemas.ARTICLE)
 
