@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,25 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[own], values[label[own]]
 
 
+def merged(parts: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of many steps as few stars: what has gathered is joined again and again, and leaves at the end or where its
+    distinct nodes alone are too many to hold."""
+    one, two, held = [], [], 0
+    for a, b in parts:
+        one.append(a)
+        two.append(b)
+        held += len(a)
+        if held > most:
+            a, b = stars(np.concatenate(one), np.concatenate(two))
+            if len(a) > most // 2:
+                yield a, b
+                one, two, held = [], [], 0
+            else:
+                one, two, held = [a], [b], len(a)
+    if held:
+        yield stars(np.concatenate(one), np.concatenate(two))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node and root (the least node it reaches) of every node that has an edge, from edges (a, b)."""
     now = rewritten(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

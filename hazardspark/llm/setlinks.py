@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardspark.llm.common import CHUNK, LOWER, id_and_text, record
-from hazardspark.llm.graph import components, stars
+from hazardspark.llm.graph import components, merged, stars
 from hazardspark.session import cut_lineage
 
 #: 64-bit words of a parity sketch; pairs compared in one step; home rows of a bucket that stay in one task.
 PARITY, STEP, HOT = 16, 1 << 16, 1024
 #: Elements and sets of a block, and row ids that may be broadcast (8 MB).
-ELEMENTS, SETS, FEW = 1 << 20, 2048, 1_000_000
+ELEMENTS, SETS, FEW = 1 << 19, 1024, 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,16 +178,20 @@ def candidates(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     sketches of a pair rule it out. ``buckets`` has bucket, node, home; ``nodes`` has node, n, parity."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for slot, node, home, n, sketch in whole_keys(batches, ["slot", "node", "home", "n", "parity"]):
             bits = np.frombuffer(b"".join(sketch.tolist()), np.uint64).reshape(-1, PARITY)
             for x, y in _pairs(slot, home):
                 fit = (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (node[x] != node[y])
                 x, y = x[fit], y[fit]
                 apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-                near = apart <= most_apart(n[x], n[y], percent)
-                if near.any():
-                    yield record(out, *stars(node[x[near]], node[y[near]]))
+                close = apart <= most_apart(n[x], n[y], percent)
+                if close.any():
+                    yield stars(node[x[close]], node[y[close]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in merged(near(batches)):
+            yield record(out, a, b)
 
     # Two buckets of one slot only make more pairs to be ruled out.
     dealt = deal(buckets, ["bucket"]).withColumn("slot", F.xxhash64("bucket", "salt"))
@@ -222,7 +226,7 @@ def shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
             part[row[a:b], col[a:b] - start] = 1
             parts.append(part)
         total += parts[0] @ parts[1].T
-    return np.rint(total).astype(np.int64)
+    return np.rint(total, out=total).astype(np.int32)
 
 
 def _linked(nodes: np.ndarray, sets: list[np.ndarray], first: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,11 +234,19 @@ def _linked(nodes: np.ndarray, sets: list[np.ndarray], first: int, percent: int)
     one, two = (sets[:first], sets[first:]) if first else (sets, sets)
     common = shared(one, two)
     n_one, n_two = np.array([len(s) for s in one]), np.array([len(s) for s in two])
-    near = 100 * common >= percent * (n_one[:, None] + n_two[None, :] - common)
-    i, j = np.nonzero(near)
-    a, b = nodes[i], nodes[j + first]
-    other = a != b
-    return *stars(a[other], b[other]), common
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        step = max(1, STEP // max(1, len(two)))
+        for start in range(0, len(one), step):
+            some = common[start : start + step]
+            i, j = np.nonzero(100 * some >= percent * (n_one[start : start + step, None] + n_two[None, :] - some))
+            a, b = nodes[start + i], nodes[j + first]
+            if (other := a != b).any():
+                yield stars(a[other], b[other])
+
+    parts = list(merged(found()))
+    none = np.empty(0, np.int64)
+    return *(parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts)) if parts else (none, none)), common
 
 
 def _sets(rows: pa.Table) -> list[np.ndarray]:
