@@ -14,7 +14,7 @@ from hazardspark.schemas import ARTICLE, ARTICLE_CSV, DISASTER_READY_CSV, EVENT,
 from hazardspark.session import fresh_dir
 from hazardspark.sinks import files
 from hazardspark.sinks import tables as sink_tables
-from hazardspark.sources import catalogues, gazetteer, lake, tables
+from hazardspark.sources import catalogues, gazetteer, lake, paged, tables
 
 _QUOTED = "replace(title, ': ', ':'||chr(10)||'\"')"
 
@@ -78,6 +78,19 @@ def s4(spark, sf):
     return out.groupBy("Concelho", "Freguesia", "Latitude").agg(F.count(F.lit(1)).alias("n"))
 
 
+@check(
+    "s4_paged_source",
+    "SELECT 'C'||(event_id%50) AS Concelho, 'F'||user_id AS Freguesia, CASE WHEN event_id%3>0 THEN value END AS Latitude, count(*) AS n FROM events WHERE event_id % 6 <> 5 GROUP BY ALL",
+)
+def s4_paged(spark, sf):
+    """The same pages as a folder each, read through the data source with the kind pushed to the page readers."""
+    pages = _numbered_features(spark, sf).groupBy("page").agg(F.to_json(F.struct(F.collect_list("feature").alias("features"))).alias("value"))
+    path = fresh_dir(spark, "feature-pages")
+    pages.write.partitionBy("page").text(path)
+    out = paged.read_pages(spark, path + "/page={page}", "Cheia", page_size=200)
+    return out.groupBy("Concelho", "Freguesia", "Latitude").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _numbered_features(spark, sf):
     e = table(spark, sf, "events")
     k = F.col("event_id")

@@ -30,6 +30,8 @@ def build_session(app: str = "hazardspark", master: str | None = None, **conf: s
         "spark.sql.codegen.hugeMethodLimit": "8000",
         # Whole pages travel to the HTML helper; small batches bound its memory.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        # The paged source decides equality filters in its readers.
+        "spark.sql.python.filterPushdown.enabled": "true",
         **conf,
     }
     for key, value in settings.items():
