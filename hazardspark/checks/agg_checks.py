@@ -87,10 +87,10 @@ _TOT = "+".join(VICTIMS)
     "a9_run_statistics",
     ART + f"SELECT count(*) AS filtered, count_if({_TOT} > 0)::BIGINT AS with_victims, count_if({_TOT} <= 0)::BIGINT AS without_victims, "
     + ", ".join(f"sum({v})::BIGINT AS total_{v}" for v in VICTIMS)
-    + f", round(avg(l_linenumber),2) AS mean_relevance, round(count(*)*100.0::DOUBLE/(SELECT count(*) FROM lineitem),1) AS filter_rate, round(count_if({_TOT} > 0)*100.0::DOUBLE/count(*),1) AS victim_rate FROM (SELECT * REPLACE (CASE WHEN l_tax > 0.05 THEN 0 ELSE fatalities END AS fatalities) FROM art WHERE l_linenumber > 2)",
+    + f", round(avg(l_linenumber),2) AS mean_relevance, round(count(*)*100.0::DOUBLE/(SELECT count(*) FROM lineitem),1) AS filter_rate, round(count_if({_TOT} > 0)*100.0::DOUBLE/count(*),1) AS victim_rate FROM (SELECT * REPLACE (CASE WHEN l_tax > 0.05 THEN 0 ELSE fatalities END AS fatalities) FROM art WHERE type IN ('Flood','Landslide'))",
 )
 def a9(spark, sf):
-    a = fr.articles(spark, sf).where("l_linenumber > 2").withColumns(
+    a = fr.articles(spark, sf).where(filters.known_hazard(F.col("type"))).withColumns(
         {"fatalities": F.when(F.col("l_tax") > 0.05, 0).otherwise(F.col("fatalities")), "relevance_score": F.col("l_linenumber")}
     )
     loaded = table(spark, sf, "lineitem").agg(F.count(F.lit(1))).scalar()

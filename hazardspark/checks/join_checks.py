@@ -84,14 +84,14 @@ _ALIASES = {"NATION_1 BUILDING": ("Alias A", "Town A"), "NATION_2 MACHINERY": ("
 
 @check(
     "j5_assign_district",
-    ART + ", k AS (SELECT lower(n_name||' '||c_mktsegment) AS key, min((n_name, n_name||' '||c_mktsegment)) AS m FROM customer JOIN nation ON c_nationkey=n_nationkey WHERE n_nationkey % 4 <> 3 GROUP BY 1) "
+    ART + ", k AS (SELECT lower(CASE WHEN n_nationkey % 4 = 3 THEN 'Old ' ELSE '' END||n_name||' '||c_mktsegment) AS key, min((n_name, (CASE WHEN n_nationkey % 4 = 3 THEN 'Old ' ELSE '' END||n_name||' '||c_mktsegment))) AS m FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1) "
     "SELECT seq, CASE municipali WHEN 'NATION_1 BUILDING' THEN 'Alias A' WHEN 'NATION_2 MACHINERY' THEN 'Alias B' ELSE coalesce(m[1], 'Desconhecido') END AS district, "
     "CASE municipali WHEN 'NATION_1 BUILDING' THEN 'Town A' WHEN 'NATION_2 MACHINERY' THEN 'Town B' ELSE coalesce(m[2], municipali) END AS municipality, "
     "CASE WHEN municipali IN ('NATION_1 BUILDING','NATION_2 MACHINERY') THEN 2 WHEN m IS NOT NULL THEN 3 ELSE 0 END AS georef_class FROM art LEFT JOIN k ON key = lower(municipali)",
 )
 def j5(spark, sf):
     a = fr.articles(spark, sf).select("seq", F.col("municipali").alias("Location"))
-    m = fr.gazetteer(spark, sf).where("n_nationkey % 4 <> 3").select("district", "municipality").distinct()
+    m = fr.renamed(fr.gazetteer(spark, sf), "municipality", F.col("n_nationkey") % 4 == 3).select("district", "municipality").distinct()
     return geo.assign_district(a, m, aliases=_ALIASES).select("seq", "district", "municipality", "georef_class")
 
 
@@ -192,12 +192,12 @@ def j10(spark, sf):
 
 @check(
     "j11_enrich_place",
-    ART + ", pl AS (SELECT lower(n_name||' '||c_mktsegment) AS k, max(n_name) AS d, max(n_name||' '||c_mktsegment) AS m, max(lpad(c_custkey::VARCHAR,6,'0')) AS code FROM customer JOIN nation ON c_nationkey=n_nationkey WHERE n_nationkey % 3 <> 1 GROUP BY 1) "
+    ART + ", pl AS (SELECT lower(CASE WHEN n_nationkey % 3 = 1 THEN 'Old ' ELSE '' END||n_name||' '||c_mktsegment) AS k, max(n_name) AS d, max(CASE WHEN n_nationkey % 3 = 1 THEN 'Old ' ELSE '' END||n_name||' '||c_mktsegment) AS m, max(lpad(c_custkey::VARCHAR,6,'0')) AS code FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1) "
     "SELECT seq, coalesce(d,'') AS district, coalesce(m,'') AS municipality, coalesce(code,'') AS DICOFREG FROM (SELECT seq, localidade FROM art) LEFT JOIN pl ON k = lower(localidade)",
 )
 def j11(spark, sf):
     a = fr.articles(spark, sf).select("seq", F.col("localidade").alias("loc"))
-    g = fr.gazetteer(spark, sf).where("n_nationkey % 3 <> 1")
+    g = fr.renamed(fr.gazetteer(spark, sf), "municipality", F.col("n_nationkey") % 3 == 1)
     places = g.groupBy(F.lower("municipality").alias("place_key")).agg(F.max("district").alias("district"), F.max("municipality").alias("municipality"))
     codes = gazetteer.parish_codes(g, "municipality", "code", ["code"])
     return geo.enrich_place(a, places, codes).select("seq", "district", "municipality", "DICOFREG")
@@ -323,10 +323,10 @@ def a14(spark, sf):
 
 
 _EMDAT_SQL = (
-    "WITH " + _PARTS_CTE + ", " + fr.CEN + ", mun AS (SELECT lower(district) AS key, district, min(municipality) AS municipality FROM gaz WHERE n_nationkey < 20 GROUP BY district), "
+    "WITH " + _PARTS_CTE + ", " + fr.CEN + ", mun AS (SELECT DISTINCT lower(CASE WHEN n_nationkey >= 20 THEN 'Old ' ELSE '' END||district) AS key, district, CASE WHEN n_nationkey >= 20 THEN 'Old ' ELSE '' END||district AS mname FROM gaz), "
     "m AS (SELECT lower(distrito) AS d, lower(concelho) AS c, arg_min({'lat': latitude, 'lon': longitude}, (coalesce(dicofre,''), latitude, longitude)) AS p FROM cen WHERE concelho IS NOT NULL GROUP BY 1,2), "
     "x AS (SELECT e.*, CASE loc WHEN 'Oeste' THEN 'Leiria' WHEN 'Funchal' THEN 'Madeira' ELSE coalesce(mun.district,'Desconhecido') END AS district, CASE loc WHEN 'Oeste' THEN 'Caldas da Rainha' WHEN 'Funchal' THEN 'Funchal' ELSE coalesce(mun.mname, loc) END AS municipality, "
-    "CASE WHEN loc IN ('Oeste','Funchal') THEN 2 WHEN mun.district IS NOT NULL THEN 3 ELSE 0 END AS cls FROM e LEFT JOIN (SELECT lower(district) AS key, district, district AS mname FROM mun) mun ON mun.key = lower(loc) WHERE o_orderkey % 5 <> 0 AND o_orderstatus <> 'P') "
+    "CASE WHEN loc IN ('Oeste','Funchal') THEN 2 WHEN mun.district IS NOT NULL THEN 3 ELSE 0 END AS cls FROM e LEFT JOIN mun ON mun.key = lower(loc) WHERE o_orderkey % 5 <> 0 AND o_orderstatus <> 'P') "
 )
 
 
@@ -339,7 +339,7 @@ _EMDAT_SQL = (
     "FROM x LEFT JOIN m ON m.d = lower(district) AND m.c = lower(municipality)) o GROUP BY ALL",
 )
 def u2_emdat(spark, sf):
-    known = fr.gazetteer(spark, sf).where("n_nationkey < 20").select("district", F.col("district").alias("municipality")).distinct()
+    known = fr.renamed(fr.gazetteer(spark, sf).withColumn("municipality", F.col("district")), "municipality", F.col("n_nationkey") >= 20).select("district", "municipality").distinct()
     events = catalog.emdat_events(_catalogue(spark, sf), known, fr.centroids(spark, sf))
     keys = ["type", "subtype", "date", "year", "month", "day", "hour", "latitude", "longitude", "georef_class", "district", "municipality", "parish", "fatalities", "injured", "displaced", "source_date"]
     return events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -426,7 +426,7 @@ def u2_features(spark, sf):
 def _all_catalogues(spark, sf):
     from hazardspark.sources import catalogues
 
-    known = fr.gazetteer(spark, sf).where("n_nationkey < 20").select("district", F.col("district").alias("municipality")).distinct()
+    known = fr.renamed(fr.gazetteer(spark, sf).withColumn("municipality", F.col("district")), "municipality", F.col("n_nationkey") >= 20).select("district", "municipality").distinct()
     return catalog.union_events(
         catalog.emdat_events(_catalogue(spark, sf), known, fr.centroids(spark, sf)),
         catalog.eswd_events(catalogues.eswd(_eswd_rows(spark, sf))),

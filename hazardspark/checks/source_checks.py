@@ -317,11 +317,11 @@ def k5(spark, sf):
     return n(history, "history").unionByName(n(latest, "latest"))
 
 
-@check("k9_run_record", "SELECT 'artigos_filtrados_20250605_staging' AS table_name, 'sucesso' AS status, (SELECT count(*) FROM lineitem) AS input_rows, (SELECT count(*) FROM lineitem WHERE l_linenumber = 2) AS exported_rows, DATE '2025-06-05' AS run_date")
+@check("k9_run_record", ART + "SELECT 'artigos_filtrados_20250605_staging' AS table_name, 'sucesso' AS status, (SELECT count(*) FROM lineitem) AS input_rows, (SELECT count(*) FROM art WHERE type IN ('Flood','Landslide')) AS exported_rows, DATE '2025-06-05' AS run_date")
 def k9(spark, sf):
-    l = table(spark, sf, "lineitem")
+    l = fr.articles(spark, sf)
     record = sink_tables.run_record(
-        l.where("l_linenumber = 2"), sink_tables.staging_name("2025-06-05"), l.agg(F.count(F.lit(1))).scalar(), "2025-06-05", F.current_timestamp()
+        l.where(filters.known_hazard(F.col("type"))), sink_tables.staging_name("2025-06-05"), l.agg(F.count(F.lit(1))).scalar(), "2025-06-05", F.current_timestamp()
     )
     return record.drop("recorded_at")
 
@@ -347,9 +347,10 @@ def k11(spark, sf):
     return spark.read.parquet(path).groupBy("id", "latitude").agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("k12_empty_result", "SELECT o_orderkey::VARCHAR AS id, o_orderstatus AS type FROM orders WHERE o_orderkey < 0")
+@check("k12_empty_result", "SELECT o_orderkey::VARCHAR AS id, o_orderstatus AS type FROM orders WHERE o_orderstatus IN ('Flood','Landslide')")
 def k12(spark, sf):
+    """No order's status is a hazard: all are read, none is left."""
     path = fresh_dir(spark, "empty")
-    none = table(spark, sf, "orders").where("o_orderkey < 0").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("type"))
+    none = table(spark, sf, "orders").where(filters.known_hazard(F.col("o_orderstatus"))).select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("type"))
     files.write_empty(spark, EVENT, path)
     return none.unionByName(spark.read.schema(EVENT).parquet(path).select("id", "type"))
