@@ -122,9 +122,13 @@ def fit(
     docs: DataFrame, training: Column, per_language: int = 300, most: int = 4_000, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0,
     l1: float = 0.02, l2: float = 0.1, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> Model:
-    """Fit on the rows where ``training`` (over doc_id) holds: frequencies over all, weights on at most ``most`` of them."""
+    """Fit on the rows where ``training`` (over doc_id) holds: frequencies over all, weights on at most ``most`` of them.
+
+    The weights learn from the rows with a letter and a language whose ids hash least, per_language each; rows equal in
+    id, language and text count once, so the model depends on the rows alone. Rows of one id with different texts or
+    languages are examples of their own; null languages, null texts and texts without letters teach nothing.
+    """
     bounded_batches(docs.sparkSession)
-    known = id_and_text(docs, id_col, text_col).select("doc_id", "text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.coalesce(training, F.lit(False)) & F.col("lang").isNotNull())
     counted = pa.schema([("bucket", pa.int32()), ("df", pa.int64())])
@@ -144,10 +148,11 @@ def fit(
     idf = np.full(BUCKETS, np.log(1.0 + n))
     for bucket, k in df.items():
         idf[bucket] = np.log((1.0 + n) / (1.0 + k)) + 0.1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    keyed = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64("doc_id", "lang", "text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key")
     chosen = (
-        rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-        .orderBy("place", "lang").limit(most).select("doc_id", "lang", "place")
+        keyed.select("doc_id", "lang", "key").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+        .groupBy("lang", "key").agg(F.min("place").alias("place")).orderBy("place", "lang").limit(most)
     )
     vectors = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("place", pa.int32()), ("at", pa.binary()), ("tf", pa.binary())])
 
@@ -157,9 +162,9 @@ def fit(
             yield record(vectors, batch.column("doc_id"), batch.column("lang"), batch.column("place"), [a.tobytes() for a, _ in found], [t.tobytes() for _, t in found])
 
     chosen = cut_lineage(chosen)
-    got = known.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang", "place").mapInArrow(
+    got = keyed.join(F.broadcast(chosen), ["lang", "key"]).dropDuplicates(["lang", "key"]).select("doc_id", "text", "lang", "place").mapInArrow(
         vectorise, "doc_id long, lang string, place int, at binary, tf binary"
-    ).limit(2 * most).collect()
+    ).collect()  # one row per chosen key, most at most
     got = sorted((r for r in got if r["at"]), key=lambda r: (r["place"], r["lang"], r["doc_id"]))
     languages = tuple(sorted({r["lang"] for r in got}))
     if not languages:

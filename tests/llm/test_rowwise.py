@@ -216,6 +216,57 @@ def test_language_odd_rows(odd, empty):
     assert {r["lang_pred"] for r in langid.predict(odd, nothing).collect()} == {"und"} and langid.predict(empty, model).count() == 0
 
 
+def test_language_repeated_rows_and_ids(spark):
+    words = {"en": "the cat and the house", "de": "der Hund und das Haus", "fr": "le chien et la maison"}
+    rows = [(i, f"{words[lang]} {i % 7}", lang) for i in range(60) for lang in [list(words)[i % 3]]]
+    schema = "doc_id long, text string, lang string"
+    base = langid.fit(spark.createDataFrame(rows, schema), F.lit(True), per_language=10)
+    assert base.languages == ("de", "en", "fr")
+    # The order of rows and their partitions decide nothing.
+    again = langid.fit(spark.createDataFrame(rows[::-1], schema).repartition(7), F.lit(True), per_language=10)
+    assert np.array_equal(base.weights, again.weights) and base.temperature == again.temperature
+    # An id's other row without a language teaches nothing; rows without letters take no place.
+    noise = [(i, words["fr"] * 3, None) for i in range(60)] + [(1000 + i, "12 34", "en") for i in range(400)] + [(2000 + i, None, "de") for i in range(400)]
+    noisy = langid.fit(spark.createDataFrame(rows + noise, schema), F.lit(True), per_language=10)
+    assert noisy.languages == base.languages and np.array_equal(noisy.weights != 0, base.weights != 0)
+    # A row 500 times over and one language only: fitted, and bounded.
+    hot = langid.fit(spark.createDataFrame([(7, words["en"], "en")] * 500, schema), F.lit(True))
+    assert hot.languages == ("en",)
+    assert [r["lang_pred"] for r in langid.predict(spark.createDataFrame([(1, "the house", None)], schema), hot).collect()] == ["en"]
+
+
+def test_weights_equal_a_plain_ftrl():
+    """The vectorised training against the update rule written out per weight."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):
+        at = np.sort(rng.choice(50, 6, replace=False)).astype(np.int32)
+        rows.append((at, rng.random(6), int(rng.integers(3))))
+    alpha, beta, l1, l2 = 0.7, 1.3, 0.05, 0.2
+    z, n = {}, {}
+
+    def weight(i, c):
+        zi = z.get((i, c), 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - l1 * (1 if zi > 0 else -1)) / ((beta + n.get((i, c), 0.0) ** 0.5) / alpha + l2)
+
+    for _ in range(3):
+        for at, x, y in rows:
+            w = {(int(i), c): weight(int(i), c) for i in at for c in range(3)}
+            scores = [sum(v * w[int(i), c] for i, v in zip(at, x)) for c in range(3)]
+            total = sum(np.exp(v) for v in scores)
+            for i, v in zip(at, x):
+                for c in range(3):
+                    g = v * (np.exp(scores[c]) / total - (c == y))
+                    old = n.get((int(i), c), 0.0)
+                    z[int(i), c] = z.get((int(i), c), 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / alpha * w[int(i), c]
+                    n[int(i), c] = old + g * g
+    got = langid.train(rows, 3, 3, alpha, beta, l1, l2)
+    assert np.allclose(got[:50], [[weight(i, c) for c in range(3)] for i in range(50)], atol=1e-10) and not got[50:].any()
+    assert (got[:50] == 0).any() and (got[:50] != 0).any()
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(5)
     logits = rng.normal(size=(4000, 3))
