@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardspark import vocab
 from hazardspark.functions import text as T
+from hazardspark.session import rewritten
 from hazardspark.sources.tables import estimated_bytes
 
 
@@ -37,22 +38,38 @@ LEVELS = [
 ]
 
 
+#: Keys of their own that rows without a usable name are dealt over.
+_APART = 4096
+
+
+def _apart(events: DataFrame, tag: str) -> Column:
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns]), F.lit(_APART))
+    return F.concat(F.lit(tag), salt.cast("string"))
+
+
 def locate(events: DataFrame, centroids: DataFrame) -> DataFrame:
     """Fill missing coordinates from parish, else municipality, else district.
 
     Latitude and longitude always come from one centroid; ``georef_class``
     names the level that supplied them. Rows with coordinates and rows no level
-    resolves stay untouched. Each level is one row per name and joins once;
-    Spark broadcasts it when its size allows.
+    resolves stay untouched. Each level is one row per name and joins once. The
+    levels are written first: Spark then knows their true size and broadcasts
+    the small ones instead of shuffling all events to a few names.
     """
     out = events
     needs = F.col("latitude").isNull() | F.col("longitude").isNull()
     for column, event_col, _ in LEVELS:
-        # Rows that need nothing, or have no name, get one of many keys that no name has: they never meet
-        # the lookup and do not gather in one task.
-        apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns]), F.lit(4096)).cast("string"))
-        out = out.withColumn(f"_k_{event_col}", F.coalesce(F.when(needs, _key(F.col(event_col))), apart))
-        out = out.join(_level(centroids, column, event_col), f"_k_{event_col}", "left")
+        k, name = f"_k_{event_col}", _key(F.col(event_col))
+        # Rows that need nothing, or have no name, get one of many keys that no name has: they never meet the
+        # lookup and do not gather in one task. Those with an empty name are dealt out too, and so is its point.
+        key = (
+            F.when(needs & (name == ""), _apart(events, "empty:")).when(needs & name.isNotNull(), F.concat(F.lit("name:"), name))
+            .otherwise(_apart(events, "none:"))
+        )
+        all_empty = F.transform(F.sequence(F.lit(0), F.lit(_APART - 1)), lambda i: F.concat(F.lit("empty:"), i.cast("string")))
+        level = rewritten(_level(centroids, column, event_col), f"level-{event_col}")
+        level = level.withColumn(k, F.explode(F.when(F.col(k) == "", all_empty).otherwise(F.array(F.concat(F.lit("name:"), F.col(k))))))
+        out = out.withColumn(k, key).join(level, k, "left")
     point = F.coalesce(*[F.col(f"_p_{e}") for _, e, _ in LEVELS])
     label = F.coalesce(
         *[F.when(F.col(f"_p_{e}").isNotNull(), F.lit(name)) for _, e, name in LEVELS]
