@@ -479,7 +479,8 @@ def k8(spark, sf):
 
 
 def _staging(spark, sf):
-    a = dedupe.keep_first(fr.articles(spark, sf), ["page"], ["seq"])
+    used = ["seq", "page", "type", "subtype", "l_tax", "date", "hour", "district", "municipali", "parish", "DICOFREG", *VICTIMS, "source", "sourcedate", "sourcetype"]
+    a = dedupe.keep_first(fr.articles(spark, sf).select(*used), ["page"], ["seq"])
     return a.select(
         F.col("page").alias("ID"), "type", "subtype", F.when(F.col("l_tax") > 0.07, "ontem").otherwise(F.col("date")).alias("date"), "hour", F.lit(None).cast("string").alias("georef"), "district", "municipali", "parish",
         "DICOFREG", *VICTIMS, "source", "sourcedate", "sourcetype", "page",

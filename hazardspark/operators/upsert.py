@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.operators.dedupe import keep_last
+from hazardspark.operators.dedupe import grouped_as_they_are, keep_last
+
+
+def greatest(df: DataFrame, key: str) -> DataFrame:
+    """The greatest row per key, by its other columns in turn; nulls are below everything.
+
+    As ``keep_last`` in the order of all other columns, but a row travels once and not beside its rank.
+    """
+    others = [c for c in df.columns if c != key]
+    if not others or key not in grouped_as_they_are(df, [key]):
+        return keep_last(df, [key], others)
+    # A struct's nulls sort first, which is where they belong.
+    row = F.max(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_row")
+    return df.groupBy(key).agg(row).select(*[F.col(f"`{c}`") if c == key else F.col(f"_row.`{c}`") for c in df.columns])
 
 
 def upsert(
@@ -28,7 +41,7 @@ def upsert(
     columns = target.columns
     update = set(update_cols if update_cols is not None else [c for c in columns if c != key])
     source = source.where(F.col(key).isNotNull())
-    source = keep_last(source, [key], order or [c for c in source.columns if c != key])
+    source = keep_last(source, [key], order) if order else greatest(source, key)
     s = source.select(
         F.struct(*[F.col(c) if c in source.columns else F.lit(None).alias(c)
                    for c in columns]).alias("_s"),
