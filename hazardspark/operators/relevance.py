@@ -53,7 +53,8 @@ def score(df: DataFrame, model: PipelineModel | None, out: str = "ml_relevance_s
     """Probability of the positive class; without a model every row scores 1."""
     if model is None:
         return df.withColumn(out, F.lit(1.0))
-    scored = model.transform(df).withColumn(out, vector_to_array("_probability")[1])
+    # A filter on the score reads it; otherwise the model's functions are copied into the filter and run again there.
+    scored = T.computed_once(model.transform(df), **{out: vector_to_array("_probability")[1]})
     return scored.select(*df.columns, out)
 
 
