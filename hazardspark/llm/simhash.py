@@ -230,7 +230,8 @@ def keep_one(docs: DataFrame, threshold: int = 4, id_col: str = "doc_id", text_c
     return _first_rows(docs, near_duplicates(docs, threshold, id_col=id_col, text_col=text_col), id_col)
 
 
-# Links by the similarity of whole shingle sets: a fingerprint's bits cannot tell 0.8 from less (pairs at 0.83 differ in up to 17 bits).
+# Links by the similarity of whole shingle sets. Near fingerprints propose them through the anchors above; bits alone cannot
+# tell 0.8 from less (pairs at 0.83 differ in up to 17 bits), so bands propose the pairs beyond and whole sets decide.
 
 #: Least hashes of a band, and bands. Texts of similarity 0.8 meet in no band once in 3.5 million pairs.
 ROWS, BANDS = 5, 38
@@ -265,9 +266,21 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield record(schema, bucket, node)
 
 
+def fingerprint_buckets(prints: DataFrame) -> DataFrame:
+    """Rows (bucket, node): sets whose fingerprints are joined by links of the anchor covering share a bucket."""
+    named = prints.where("n > 0").select("bits", "node").distinct()
+    classes = cut_lineage(named.select("bits").distinct())
+    roots = cut_lineage(components(links(classes))).withColumnRenamed("node", "of")
+    bounded_batches(prints.sparkSession)
+    return named.join(roots, named["bits"] == roots["of"], "left").select(F.coalesce("root", "bits").alias("bucket"), "node")
+
+
 def similar_links(docs: DataFrame, prints: DataFrame, size: int, percent: int, id_col: str, text_col: str, **blocks) -> DataFrame:
-    """Edges (a, b) of set keys that join what all pairs of sets that share a band and link by their whole sets join."""
-    keys = prints.select(F.explode("keys").alias("bucket"), "node").distinct()
+    """Edges (a, b) of set keys that join what all pairs of sets that share a bucket and link by their whole sets join.
+
+    Buckets are groups of near fingerprints and, for pairs whose fingerprints differ in more bits, bands.
+    """
+    keys = fingerprint_buckets(prints).unionByName(prints.select(F.explode("keys").alias("bucket"), "node")).distinct()
     met = cut_lineage(keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, "bucket long, node long"))
     nodes = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "parity")))
     nodes = cut_lineage(nodes.join(met.select("node").distinct(), "node", "left_semi"))
@@ -285,7 +298,7 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
     those named like ours; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
-    names = ["doc_id", "node", "n", "parity", "keys"]
+    names = ["doc_id", "node", "n", "parity", "bits", "keys"]
     kinds = {"parity": pa.binary(), "keys": pa.list_(pa.int64())}
     schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in names])
 
@@ -295,10 +308,10 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 values = shingler(text)
-                rows.append((doc_id, set_key(values), len(values), parity(values), band_keys(values) if len(values) else []))
+                rows.append((doc_id, set_key(values), len(values), parity(values), fingerprint(text, size), band_keys(values) if len(values) else []))
             yield record(schema, *(zip(*rows) if rows else [[]] * len(names)))
 
-    ddl = "doc_id long, node long, n long, parity binary, keys array<long>"
+    ddl = "doc_id long, node long, n long, parity binary, bits long, keys array<long>"
     prints = cut_lineage(id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, ddl))
     links = similar_links(docs, prints, size, percent, id_col, text_col, **blocks)
     return component_ids(prints, links).select("doc_id", "component_id")
