@@ -2,10 +2,11 @@
 
 Base spans come from four fixed patterns with a check of the match. High-recall generators then propose further,
 overlapping spans (anything around an at sign, runs of figures, dotted numbers, long mixed tokens, assigned values).
-Trees boosted on the logistic loss score each candidate by its form and its surroundings. They are trained on
-candidates from about ``sample`` documents (the least hashes of doc_id, at most ``rows`` candidates): those that
-coincide with a base match or are assigned to a credential's name are positive, the others negative. On candidates
-held out from training, each kind gets the least threshold that reaches the wanted precision. Selected candidates that
+Trees boosted on the logistic loss score each candidate by its form and its surroundings. They are trained on two thirds
+of all candidates: those that coincide with a base match or are assigned to a credential's name are positive, the others
+negative. Features are cut at quantiles, candidates of equal bins are one row with a count, and tasks add up the
+gradients per bin, so the driver gets sums only. On the third held out from training, each kind gets the least threshold
+(in steps of 1/4096) that reaches the wanted precision. Selected candidates that
 touch no base span are added, the likeliest first; base spans always stay.
 
 Offsets are code points, ends exclusive. Defined results: a null or empty text has no spans; a table without positive
@@ -25,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.llm.common import bounded_batches, id_and_text, record
+from hazardspark.llm.common import batch_rows, bounded_batches, id_and_text, record
+from hazardspark.session import rewritten
 
 #: Fixed kinds in the order in which they are listed; ``secret`` only comes from the trees.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -250,14 +252,112 @@ def _touches(taken: list[tuple[int, int]], start: int, end: int) -> bool:
     return any(e > start for _, e in taken[max(0, k - 8) : k])
 
 
-def fit(
-    docs: DataFrame, sample: int = 20_000, rows: int = 6_000, precision: float = 0.99, id_col: str = "doc_id", text_col: str = "text"
-) -> Detector:
-    """Fit on at most ``rows`` candidates of about ``sample`` documents; the driver gets their numbers only."""
-    bounded_batches(docs.sparkSession)
-    total = docs.count()
-    within = min(1.0, sample / max(total, 1)) * 2.0**63
-    schema = pa.schema([("order", pa.int64()), ("kind", pa.string()), ("y", pa.bool_()), ("x", pa.list_(pa.float64()))])
+#: Steps of the thresholds between 0 and 1, a power of two; distinct rows that a task takes on; quantiles of a feature.
+STEPS, TASK_ROWS, BINS = 4096, 500_000, 24
+#: Bins are bytes, so none is above it.
+NEVER = 255
+
+
+@dataclass(frozen=True)
+class Splits:
+    """A tree over bins: feature and last bin to the left per node, breadth first; gradients' steps of its leaves."""
+
+    feature: list[int]
+    last: list[int]
+    leaf: np.ndarray | None = None
+
+    def place(self, bins: np.ndarray, node: int = 0) -> np.ndarray:
+        """Position of each column of ``bins`` (a row per feature) among the leaves."""
+        if node >= len(self.feature):
+            return np.zeros(bins.shape[1], np.uint8)
+        right = bins[self.feature[node]] > self.last[node]
+        if 2 * node + 1 >= len(self.feature):
+            return right.astype(np.uint8)
+        depth = (len(self.feature) + 1).bit_length() - (node + 1).bit_length()
+        return np.where(right, self.place(bins, 2 * node + 2) + np.uint8(1 << (depth - 1)), self.place(bins, 2 * node + 1))
+
+
+@dataclass(frozen=True)
+class Margin:
+    start: float
+    trees: list[Splits]
+    rate: float
+
+    def __call__(self, bins: np.ndarray) -> np.ndarray:
+        z = np.full(bins.shape[1], self.start)
+        for tree in self.trees:
+            z += self.rate * tree.leaf[tree.place(bins)]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def best_split(g: np.ndarray, h: np.ndarray, widths: list[int], damp: float) -> tuple[int, int, float, float]:
+    """Feature, last bin to the left and the two leaves' steps, from the sums per feature and bin of one node."""
+    total_g, total_h = g[0].sum(), h[0].sum()
+    best, feature, last, left_g, left_h = 1e-9, 0, NEVER, total_g, total_h
+    for f, width in enumerate(widths):
+        if not width:
+            continue
+        lg, lh = np.cumsum(g[f])[:width], np.cumsum(h[f])[:width]
+        gain = lg**2 / (lh + damp) + (total_g - lg) ** 2 / (total_h - lh + damp) - total_g**2 / (total_h + damp)
+        k = int(gain.argmax())
+        if gain[k] > best:
+            best, feature, last, left_g, left_h = float(gain[k]), f, k, lg[k], lh[k]
+    return feature, last, -left_g / (left_h + damp), -(total_g - left_g) / (total_h - left_h + damp)
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins (a row per feature), whether positive, and how many candidates a row stands for."""
+    raw = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8)
+    y = batch.column("y").to_numpy(zero_copy_only=False).astype(float)
+    return np.ascontiguousarray(raw.reshape(batch.num_rows, -1).T), y, batch.column("n").to_numpy(zero_copy_only=False).astype(float)
+
+
+def _summed(forms: DataFrame, shape: tuple[int, ...], add) -> np.ndarray:
+    """Sum over all rows of what ``add(total, batch)`` puts into an array; one array per task comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            if batch.num_rows:
+                add(total, batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    out = np.zeros(shape)
+    for row in forms.mapInArrow(run, "total binary").collect():
+        out += np.frombuffer(row["total"]).reshape(shape)
+    return out
+
+
+def _boosted(train: DataFrame, widths: list[int], start: float, rounds: int, depth: int, rate: float, damp: float) -> Margin:
+    """Trees grown a level at a time; one pass over the rows per level."""
+    margin = Margin(start, [], rate)
+    for _ in range(rounds):
+        feature, last = [], []
+        for level in range(depth):
+            known = Splits(list(feature), list(last))
+
+            def add(total: np.ndarray, batch: pa.RecordBatch, known=known, margin=margin) -> None:
+                bins, y, n = _columns(batch)
+                p = margin(bins)
+                g, h = n * (p - y), n * np.maximum(p * (1 - p), 1e-6)
+                at = known.place(bins).astype(np.int64) * (BINS + 1)
+                for f in range(len(bins)):
+                    slot = at + bins[f]
+                    for k, weight in enumerate((g, h)):
+                        total[k, :, f] += np.bincount(slot, weight, total.shape[1] * (BINS + 1)).reshape(-1, BINS + 1)
+
+            sums = _summed(train, (2, 1 << level, len(widths), BINS + 1), add)
+            found = [best_split(sums[0, node], sums[1, node], widths, damp) for node in range(1 << level)]
+            feature += [s[0] for s in found]
+            last += [s[1] for s in found]
+        leaf = np.array([step for s in found for step in s[2:]])
+        margin = Margin(start, [*margin.trees, Splits(feature, last, leaf)], rate)
+    return margin
+
+
+def proposals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every candidate of every document: whether it is held out, its kind's number, whether it counts as personal, its description."""
+    schema = pa.schema([("held", pa.bool_()), ("kind", pa.int32()), ("y", pa.bool_()), ("x", pa.list_(pa.float64()))])
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -269,29 +369,68 @@ def fit(
                 for i in range(0, len(found), 1024):
                     part = found[i : i + 1024]
                     yield record(
-                        schema, [xxhash.xxh64_intdigest(f"{doc_id} {c} {text[c[0]:c[1]]}") >> 1 for c in part],
-                        [_GENERATORS[g][1] for _, _, g in part], [taught(text, *c, base) for c in part], [described(text, *c) for c in part],
+                        schema, [(xxhash.xxh64_intdigest(f"{doc_id} {c} {text[c[0]:c[1]]}") >> 1) % 3 == 0 for c in part],
+                        [KINDS.index(_GENERATORS[g][1]) for _, _, g in part], [taught(text, *c, base) for c in part], [described(text, *c) for c in part],
                     )
 
-    chosen = id_and_text(docs, id_col, text_col).where(F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 63) - 1)).cast("double") <= within)
-    got = (
-        chosen.mapInArrow(propose, "order long, kind string, y boolean, x array<double>")
-        .orderBy("order", "kind", "y").limit(rows).collect()
-    )
+    return id_and_text(docs, id_col, text_col).mapInArrow(propose, "held boolean, kind int, y boolean, x array<double>")
+
+
+def _forms(found: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+    """Distinct (held, kind, y, bins) and how many candidates have each."""
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist(), float).reshape(batch.num_rows, len(cuts))
+            bins = np.column_stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)]).astype(np.uint8)
+            rest = [batch.column(c) for c in ("held", "kind", "y")]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array([b.tobytes() for b in bins], pa.binary())], names=["held", "kind", "y", "bins"])
+
+    rows = found.mapInArrow(binned, "held boolean, kind int, y boolean, bins binary")
+    return rows.groupBy("held", "kind", "y", "bins").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit(
+    docs: DataFrame, precision: float = 0.99, id_col: str = "doc_id", text_col: str = "text",
+    rounds: int = 40, depth: int = 3, rate: float = 0.3, damp: float = 1.0,
+) -> Detector:
+    """Fit on every candidate of every document; the driver gets quantiles and sums only."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
     thresholds = dict.fromkeys(KINDS, 2.0)
-    if not any(r["y"] for r in got):
+    found = rewritten(proposals(docs, id_col, text_col), "candidates")
+    counted = found.where("NOT held").agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("y")).first()
+    if not counted["y"]:
         return Detector(None, thresholds)
-    x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got])
-    kinds, held = np.array([r["kind"] for r in got]), np.array([r["order"] % 3 == 0 for r in got])
-    if not y[~held].any():
-        return Detector(None, thresholds)
-    forest = boost(x[~held], y[~held].astype(float))
-    p = forest(x)
-    for kind in KINDS:
-        mine = held & (kinds == kind)
-        if mine.any():
-            thresholds[kind] = threshold(p[mine], y[mine], precision)
-    return Detector(forest, thresholds)
+    shares = [k / BINS for k in range(1, BINS)]
+    wide = len(described("secret", 0, 6, 0))
+    at = found.where("NOT held").agg(
+        *(F.percentile_approx(F.col("x")[f], shares).alias(f"q{f}") for f in range(wide)), *(F.max(F.col("x")[f]).alias(f"m{f}") for f in range(wide))
+    ).first()
+    cuts = [np.array(sorted({c for c in at[f"q{f}"] if c < at[f"m{f}"]})) for f in range(wide)]
+    forms = rewritten(_forms(found, cuts), "forms")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-forms.count() // TASK_ROWS))
+    forms = rewritten(forms.repartition(tasks), "forms")
+    mean = float(np.clip(counted["y"] / counted["n"], 1e-3, 1 - 1e-3))
+    with batch_rows(spark, 1 << 16):
+        margin = _boosted(forms.where("NOT held"), list(map(len, cuts)), math.log(mean / (1 - mean)), rounds, depth, rate, damp)
+
+        def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
+            bins, y, n = _columns(batch)
+            slot = batch.column("kind").to_numpy(zero_copy_only=False).astype(np.int64) * (STEPS + 1) + (margin(bins) * STEPS).astype(np.int64)
+            for k, weight in enumerate((n, n * y)):
+                total[k] += np.bincount(slot, weight, total[k].size).reshape(total[k].shape)
+
+        sums = _summed(forms.where("held"), (2, len(KINDS), STEPS + 1), add)
+    for k, kind in enumerate(KINDS):
+        n, y = (np.cumsum(sums[i, k][::-1])[::-1] for i in (0, 1))
+        good = [step for step in np.flatnonzero((y > 0) & (y >= precision * n)) if 2 * step >= STEPS]
+        if good:
+            thresholds[kind] = good[0] / STEPS
+    trees = tuple(
+        Tree(list(t.feature), [math.inf if k == NEVER else float(cuts[f][k]) for f, k in zip(t.feature, t.last)], t.leaf) for t in margin.trees
+    )
+    return Detector(Forest(margin.start, trees, rate), thresholds)
 
 
 def joined(spans: list[Span]) -> str:
