@@ -178,6 +178,8 @@ def enrich_place(df: DataFrame, places: DataFrame, codes: DataFrame, loc: str =
 # Names are anchored by a gram of the largest size that fits them.
 GRAM_SIZES = (4, 2, 1)
 SMALL_GAZETTEER_BYTES = 8 * 1024 * 1024
+# Up to so many names are looked for one by one in the row itself, which is cheaper than the grams of a text.
+FEW_NAMES = 128
 
 
 def _grams(col: Column, size: int) -> Column:
@@ -209,23 +211,38 @@ def places_in_text(
     and survivors are verified against the whole text, so no text is compared
     with every name. A gazetteer below the size bound is broadcast and the
     verification happens in the same pass; a larger one joins grams without
-    the text and fetches the texts of the candidates by id and text hash. The
-    rows are the same either way: one per id, text and place, null ids and
-    repeated rows included.
+    the text and fetches the texts of the candidates by id and text hash. A
+    few names are looked for without grams. The rows are the same either way:
+    one per id, text and place, null ids and repeated rows included. The
+    gazetteer is written first, so that its true size decides: an estimate of
+    its plan grows with the tables it is drawn from.
     """
-    return _places_by_text(docs, doc_id, text, places, name, rank).select(doc_id, rank, "place")
+    return _places_by_text(docs, doc_id, text, _named(places, name, rank), rank).select(doc_id, rank, "place")
+
+
+def _named(places: DataFrame, name: str, rank: str) -> DataFrame:
+    """Written names with their normalised form; names that normalise to nothing are left out."""
+    named = places.select(T.normalize(F.col(name)).alias("_name"), F.col(rank), F.col(name).alias("place"))
+    return rewritten(named.where(F.length("_name") > 0), "names")
+
+
+def _few(names: DataFrame) -> bool:
+    return len(names.take(FEW_NAMES + 1)) <= FEW_NAMES
 
 
 def _text_key(text: str) -> Column:
     return F.xxhash64(T.normalize(F.col(text)))
 
 
-def _places_by_text(docs: DataFrame, doc_id: str, text: str, places: DataFrame, name: str, rank: str) -> DataFrame:
-    named = places.select(
-        T.normalize(F.col(name)).alias("_name"), F.col(rank), F.col(name).alias("place")
-    ).where(F.length("_name") > 0)
-    anchors = _anchors(named.select("_name").distinct())
+def _places_by_text(docs: DataFrame, doc_id: str, text: str, named: DataFrame, rank: str) -> DataFrame:
+    names = named.select("_name").distinct()
     texts = docs.select(F.col(doc_id), T.normalize(F.col(text)).alias("_text")).withColumn("_key", F.xxhash64("_text"))
+    if _few(names):
+        found = F.filter("_names", lambda n: F.contains("_text", n))
+        hits = texts.crossJoin(F.broadcast(names.agg(F.collect_list("_name").alias("_names"))))
+        hits = hits.select(doc_id, "_key", F.explode(found).alias("_name")).distinct()
+        return hits.join(named, "_name").select(doc_id, "_key", rank, "place")
+    anchors = _anchors(names)
     # Texts yield grams only of the sizes that anchor some name.
     all_grams = F.concat(
         *[
@@ -234,7 +251,7 @@ def _places_by_text(docs: DataFrame, doc_id: str, text: str, places: DataFrame,
             for n in GRAM_SIZES
         ]
     )
-    if estimated_bytes(places) <= SMALL_GAZETTEER_BYTES:
+    if estimated_bytes(named) <= SMALL_GAZETTEER_BYTES:
         hits = (
             texts.select(doc_id, "_key", "_text", F.explode(all_grams).alias("_gram"))
             .join(F.broadcast(anchors), "_gram")
@@ -259,9 +276,20 @@ def _places_by_text(docs: DataFrame, doc_id: str, text: str, places: DataFrame,
 def first_place_in_text(
     docs: DataFrame, doc_id: str, text: str, places: DataFrame, name: str, rank: str
 ) -> DataFrame:
-    """Docs with ``place``: the lowest-ranked gazetteer name contained in the text, else null."""
+    """Docs with ``place``: the lowest-ranked gazetteer name contained in the text, else null.
+
+    A few names are tried in the row itself, in their order; no text then travels.
+    """
+    named = _named(places, name, rank)
+    if _few(named):
+        entry = F.struct(F.col(rank).alias("rank"), "place", "_name")
+        listed = named.where(F.col(rank).isNotNull()).agg(F.sort_array(F.collect_list(entry)).alias("_names"))
+        # The normalised text is computed below the join, once per row and not once per name.
+        texts = docs.withColumn("_text", T.normalize(F.col(text))).crossJoin(F.broadcast(listed))
+        held = F.filter("_names", lambda n: F.contains("_text", n["_name"]))
+        return texts.select(*docs.columns, F.get(held, F.lit(0))["place"].alias("place"))
     first = (
-        _places_by_text(docs, doc_id, text, places, name, rank)
+        _places_by_text(docs, doc_id, text, named, rank)
         .groupBy(F.col(doc_id).alias("_id"), F.col("_key").alias("_of"))
         .agg(F.min_by("place", rank).alias("place"))
     )
