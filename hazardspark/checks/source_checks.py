@@ -28,7 +28,7 @@ def s1(spark, sf):
     a = fr.articles(spark, sf).select(*ARTICLE.fieldNames())
     a = a.withColumn("title", F.replace("title", F.lit(": "), F.lit(':\n"')))
     path = fresh_dir(spark, "articles-csv")
-    files.write_csv(a, path)
+    files.write_csv(a, path, compression="gzip")
     return tables.articles(spark, path).select("ID", "title", "type", "date", "year", "parish", "page", "fatalities")
 
 
@@ -247,7 +247,7 @@ def _text_schema(names):
 def k1(spark, sf):
     a = fr.articles(spark, sf).drop("DICOFREG")
     path = fresh_dir(spark, "csv")
-    files.write_csv(files.fixed_projection(a), path)
+    files.write_csv(files.fixed_projection(a), path, compression="gzip")
     return tables.csv_table(spark, path, _text_schema(ARTICLE_CSV))
 
 

@@ -32,9 +32,9 @@ def dynamic_projection(df: DataFrame) -> DataFrame:
     return fixed_projection(df, standard + extra)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with empty strings kept empty."""
-    df.write.mode(mode).options(**_CSV, emptyValue="").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """CSV with empty strings kept empty; ``compression`` such as gzip shrinks the files, which readers know by their names."""
+    df.write.mode(mode).options(**_CSV, emptyValue="", compression=compression).csv(path)
 
 
 def write_dated(df: DataFrame, path: str, date: Column, mode: str = "overwrite", fmt: str = "parquet") -> None:
