@@ -274,7 +274,7 @@ def t17(spark, sf):
 
 @check("t18_article_text")
 def t18(spark, sf):
-    p = table(spark, sf, "pages")
+    p = H.bounded_pages(table(spark, sf, "pages"))
     return p.select("page_id", H.article_text("html").alias("text"), H.article_text_short("html").alias("short_text"))
 
 
