@@ -78,6 +78,6 @@ def rss_items(df: DataFrame, xml: str) -> DataFrame:
 
 def html_pages(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
     """Pages with their main text."""
-    from hazardspark.functions.html import article_text
+    from hazardspark.functions.html import article_text, bounded_pages
 
-    return df.withColumn(out, article_text(F.col(html)))
+    return bounded_pages(df).withColumn(out, article_text(F.col(html)))
