@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hazardspark import vocab
-from hazardspark.functions.text import normalize, safe_int
+from hazardspark.functions.text import normalize, once, safe_int
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -92,13 +92,19 @@ def parse_rss(col: Column) -> Column:
 
 def format_published(col: Column) -> Column:
     """struct(date as dd/MM/yyyy, year, month, day, hour as HH:mm); '' and null on failure."""
-    ts = parse_rss(col)
+    return once(parse_rss(col), _published)
+
+
+def _published(ts: Column) -> Column:
+    # Years are 1 to 9999 here, so padded numbers are what a formatter would write; nulls join to ''.
+    two = lambda part: F.lpad(part.cast("string"), 2, "0")
+    year = F.lpad(F.year(ts).cast("string"), 4, "0")
     return F.struct(
-        F.coalesce(F.date_format(ts, "dd/MM/yyyy"), F.lit("")).alias("date"),
+        F.concat_ws("/", two(F.dayofmonth(ts)), two(F.month(ts)), year).alias("date"),
         F.year(ts).alias("year"),
         F.month(ts).alias("month"),
         F.dayofmonth(ts).alias("day"),
-        F.coalesce(F.date_format(ts, "HH:mm"), F.lit("")).alias("hour"),
+        F.concat_ws(":", two(F.hour(ts)), two(F.minute(ts))).alias("hour"),
     )
 
 

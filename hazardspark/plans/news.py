@@ -13,6 +13,7 @@ from hazardspark.functions import extract as X
 from hazardspark.functions import text as T
 from hazardspark.operators import dedupe, filters, geo
 from hazardspark.schemas import ARTICLE, VICTIMS
+from hazardspark.session import rewritten
 
 
 def process(
@@ -61,7 +62,8 @@ def process(
     clean = lambda c: T.clean_for_csv(F.col(c))
     # Place names are cleaned in the gazetteer, not once per article.
     tidy = places.withColumns({"district": clean("district"), "municipality": clean("municipality")})
-    rows = geo.enrich_place(rows, tidy, codes)
+    # Written first: Spark then knows the true size and joins small lists without shuffling the articles.
+    rows = geo.enrich_place(rows, rewritten(tidy, "places"), rewritten(codes, "codes"))
     cols: dict[str, Column] = {
         "ID": F.col("ID"), "title": clean("title"),
         "type": F.col("_hazard.type"), "subtype": F.col("_hazard.subtype"),
