@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from hazardspark.llm.common import bounded_batches, id_and_text, record
+from hazardspark.llm.common import SMALL_MB, bounded_batches, id_and_text, record
 
 #: So many distinct short pieces and pairs are remembered before the memory starts anew; what a short piece is.
 REMEMBERED, SHORT = 1 << 20, 40
@@ -84,6 +84,11 @@ class Encoder:
         self._shorter: dict[int, int] = {}
         self._edges: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
 
+    def forget(self) -> None:
+        """Nothing but the table of ranks stays, so that a worker that goes on to other work does not hold on to the memory."""
+        for known in (self.pieces, self._fits, self._shorter, self._edges):
+            known.clear()
+
     def edge(self, token: int, last: bool) -> list[tuple[bytes, float]]:
         """The parts that stand at a token's last (first) byte while it is merged, each with the rank that ends it."""
         key = (token, last)
@@ -222,20 +227,23 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
 def with_ids(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs with bpe_n_tokens, bpe_ids and bpe_exact (the ids decode to the text); such columns of docs are replaced."""
     spark: SparkSession = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, SMALL_MB)
     docs = docs.drop("bpe_n_tokens", "bpe_ids", "bpe_exact")
     data = _broadcast_ranks(spark, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(data.value, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            ids = [bpe.encode(t) for t in texts]
-            new = [
-                pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
-                pa.array([bpe.decode(i) == t.encode() for i, t in zip(ids, texts)], pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "bpe_n_tokens", "bpe_ids", "bpe_exact"])
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(text_col).to_pylist()]
+                ids = [bpe.encode(t) for t in texts]
+                new = [
+                    pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
+                    pa.array([bpe.decode(i) == t.encode() for i, t in zip(ids, texts)], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "bpe_n_tokens", "bpe_ids", "bpe_exact"])
+        finally:
+            bpe.forget()
 
     schema = T.StructType([
         *docs.schema.fields, T.StructField("bpe_n_tokens", T.LongType()), T.StructField("bpe_ids", T.BinaryType()),

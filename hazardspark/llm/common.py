@@ -15,6 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: A-Z to a-z, every other byte as it is.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 CHUNK = 1 << 20
+#: MB of an Arrow batch of texts in the pipeline's stages. A task holds a batch several times over, in the executor's
+#: native memory and in Python, and neither gives large blocks back to the system before the session ends.
+SMALL_MB = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

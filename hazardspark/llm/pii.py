@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.llm.common import batch_rows, bounded_batches, id_and_text, record
+from hazardspark.llm.common import SMALL_MB, batch_rows, bounded_batches, id_and_text, record
 from hazardspark.session import rewritten
 
 #: Fixed kinds in the order in which they are listed; ``secret`` only comes from the trees.
@@ -396,7 +396,7 @@ def fit(
 ) -> Detector:
     """Fit on every candidate of every document; the driver gets quantiles and sums only."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, SMALL_MB)
     thresholds = dict.fromkeys(KINDS, 2.0)
     found = rewritten(proposals(docs, id_col, text_col), "candidates")
     counted = found.where("NOT held").agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("y")).first()
@@ -439,7 +439,7 @@ def joined(spans: list[Span]) -> str:
 
 def find(docs: DataFrame, detector: Detector, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, base (base spans) and spans (all spans) as kind:start:end, comma-joined; counts of base spans by kind."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_MB)
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base", pa.string()), ("spans", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,7 +464,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, detector: Detector, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """docs with the spans in their texts replaced, and n_chars (where the table has it) counted anew for those rows."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_MB)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

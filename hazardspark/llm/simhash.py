@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.llm.common import LOWER, bounded_batches, id_and_text, record, words
+from hazardspark.llm.common import LOWER, SMALL_MB, bounded_batches, id_and_text, record, words
 from hazardspark.llm.graph import components, stars
 from hazardspark.llm.setlinks import Shingler, candidates, component_ids, exact_links, parity, read_sets, set_key
 from hazardspark.session import cut_lineage
@@ -271,7 +271,7 @@ def fingerprint_buckets(prints: DataFrame) -> DataFrame:
     named = prints.where("n > 0").select("bits", "node").distinct()
     classes = cut_lineage(named.select("bits").distinct())
     roots = cut_lineage(components(links(classes))).withColumnRenamed("node", "of")
-    bounded_batches(prints.sparkSession)
+    bounded_batches(prints.sparkSession, SMALL_MB)
     return named.join(roots, named["bits"] == roots["of"], "left").select(F.coalesce("root", "bits").alias("bucket"), "node")
 
 
@@ -297,7 +297,7 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
     sets share a component whatever the order of ties; rows without an id are left out; other columns are ignored, also
     those named like ours; an empty table gives no rows.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_MB)
     names = ["doc_id", "node", "n", "parity", "bits", "keys"]
     kinds = {"parity": pa.binary(), "keys": pa.list_(pa.int64())}
     schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in names])

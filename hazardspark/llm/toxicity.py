@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardspark.llm.common import bounded_batches, id_and_text, record, words, xxhash_all
+from hazardspark.llm.common import SMALL_MB, bounded_batches, id_and_text, record, words, xxhash_all
 from hazardspark.session import cut_lineage
 
 #: Categories in chain order: label ``quality`` 0, label ``toxic`` 1, and toxic with many indicator terms.
@@ -201,7 +201,7 @@ def fit(
     A term counts if it is in ``min_docs`` documents and a share ``min_share`` of them at least, and its odds in a
     category differ by ``min_z`` standard deviations; words of one group of copies do not reach that.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_MB)
     sample = cut_lineage(_sample(id_and_text(docs, id_col, text_col), labels, rows))
     n, toxic, low = (int(v or 0) for v in sample.agg(F.count("*"), F.sum("toxic"), F.sum("low")).first())
     if not n:
@@ -244,7 +244,7 @@ def fit(
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, a probability per category, and whether the document is rejected."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_MB)
     schema = pa.schema([("doc_id", pa.int64()), *((f"p_{c}", pa.float64()) for c in CATEGORIES), ("rejected", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +259,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     """The rows that are not rejected, with all their columns."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_MB)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
