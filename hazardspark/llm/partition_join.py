@@ -22,6 +22,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from hazardspark.llm.common import bounded_batches, id_and_text, record
 from hazardspark.llm.setlinks import Shingler, candidates, component_ids, exact_links, mix, most_apart, parity, read_sets, set_key, whole_keys
-from hazardspark.session import cut_lineage
+from hazardspark.session import cut_lineage, rewritten
 
 #: Of the subsets of two, one in so many may have weight 2; a band reaches up to so many times its least size.
 ONE_IN, BAND = 4, 1.6
@@ -216,7 +217,8 @@ def links(docs: DataFrame, prints: DataFrame, size: int = 5, percent: int = 80,
     rows = whole.mapInArrow(sign, "sig long, node long")
     key = F.shiftright("sig", _KIND)
     met = rows.repartition(key).sortWithinPartitions("sig", "node").mapInArrow(_met, "sig long, node long")
-    met = cut_lineage(met.withColumn("kind", F.col("sig").bitwiseAND((1 << _KIND) - 1)).withColumn("key", key))
+    # Written as Parquet: a checkpoint has some 60 bytes for such a row.
+    met = rewritten(met, "signatures").withColumn("kind", F.col("sig").bitwiseAND((1 << _KIND) - 1)).withColumn("key", key)
     is_own, is_deleted, asks = F.col("kind").isin(OWN, OWN_TWO), F.col("kind") == DELETED, F.col("kind") != DELETED
     counts = met.groupBy("key").agg(F.count(F.when(is_own, 1)).alias("own"), F.count(F.when(is_deleted, 1)).alias("deleted"))
     counts = counts.where("own + deleted > 0")
@@ -245,15 +247,14 @@ def links(docs: DataFrame, prints: DataFrame, size: int = 5, percent: int = 80,
             if found:
                 yield record(asked_as, *map(np.concatenate, zip(*found)))
 
-    asked = cut_lineage(costs.repartition("node").sortWithinPartitions("node", F.col("sig")).mapInArrow(ask, "bucket long, node long").distinct())
+    asked = rewritten(costs.repartition("node").sortWithinPartitions("node", F.col("sig")).mapInArrow(ask, "bucket long, node long").distinct(), "asked")
     index = met.where(is_own).select(F.shiftleft("key", 1).alias("bucket"), "node").union(
         met.where(is_deleted).select(F.shiftleft("key", 1).bitwiseOR(F.lit(1)).alias("bucket"), "node")
     )
     index = index.join(asked.select("bucket").distinct(), "bucket", "left_semi").join(asked, ["bucket", "node"], "left_anti")
-    buckets = cut_lineage(asked.withColumn("home", F.lit(True)).union(index.withColumn("home", F.lit(False))))
+    buckets = rewritten(asked.withColumn("home", F.lit(True)).union(index.withColumn("home", F.lit(False))), "buckets")
     edges = candidates(buckets, nodes, percent)
-    wanted = nodes.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    sets = read_sets(docs, wanted, size, id_col, text_col)
+    sets = partial(read_sets, docs=docs, size=size, id_col=id_col, text_col=text_col)
     return exact_links(edges, nodes, sets, percent, **blocks)
 
 

@@ -10,7 +10,7 @@ blocks whose distances to the root differ by more than a link can span (Jaccard
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -253,10 +253,13 @@ def _sets(rows: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
 
 
-def exact_links(edges: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, elements: int = ELEMENTS, most_sets: int = SETS) -> DataFrame:
-    """Edges (a, b) that join the nodes as all links within the clusters of ``edges`` do. ``sets`` has node, shingles."""
+def exact_links(
+    edges: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, elements: int = ELEMENTS, most_sets: int = SETS
+) -> DataFrame:
+    """Edges (a, b) that join the nodes as all links within the clusters of ``edges`` do. ``nodes`` has node, n, doc_id;
+    ``sets`` reads the whole sets of rows that say where each goes (see ``read_sets``), so that a set travels once."""
     cluster = cut_lineage(components(edges).select("node", F.col("root").alias("cluster")))
-    members = cut_lineage(cluster.join(nodes.select("node", "n"), "node"))
+    members = cut_lineage(cluster.join(nodes.select("node", "n", "doc_id"), "node"))
     size = lambda rows, keys: rows.groupBy(*keys).agg(
         F.greatest(F.ceil(F.sum("n") / elements), F.ceil(F.count("*") / most_sets)).cast("long").alias("blocks")
     )
@@ -266,7 +269,8 @@ def exact_links(edges: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
     roots = counted.where("blocks > 1").select(
         "cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("cluster").alias("node")
     )
-    placed = dealt.select("cluster", "block", "node").union(roots).distinct()
+    roots = roots.join(members.select("node", "doc_id"), "node")
+    placed = dealt.select("cluster", "block", "node", "doc_id").unionByName(roots).distinct().join(counted, "cluster")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("far", pa.int32())])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,10 +285,9 @@ def exact_links(edges: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
                 far = (10 * (1 - both / np.maximum(1, n + n[at[0]] - both))).astype(np.int64)
                 yield record(out, node, np.full(len(node), root), far)
 
-    rows = placed.join(counted, "cluster").join(sets, "node").select("cluster", "block", "node", "blocks", "shingles")
-    first = cut_lineage(
-        rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block").mapInArrow(within, "a long, b long, far int")
-    )
+    # A repeated id brings its set again; the rows meet here anyway.
+    rows = sets(placed).repartition("cluster", "block").dropDuplicates(["cluster", "block", "node"])
+    first = cut_lineage(rows.sortWithinPartitions("cluster", "block").mapInArrow(within, "a long, b long, far int"))
     links = first.where("far < 0").select("a", "b").distinct()
     if not counted.where("blocks > 1").head(1):
         return links
@@ -293,7 +296,7 @@ def exact_links(edges: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
     joined = cut_lineage(components(links))
     far = first.where("far >= 0").groupBy(F.col("a").alias("node")).agg(F.min("far").alias("far"))
     rest = members.join(counted.where("blocks > 1").select("cluster"), "cluster").join(far, "node").join(joined, "node", "left")
-    rest = cut_lineage(rest.select("cluster", "node", "n", "far", F.coalesce("root", "node").alias("root")))
+    rest = cut_lineage(rest.select("cluster", "node", "n", "doc_id", "far", F.coalesce("root", "node").alias("root")))
     whole = size(rest, ["cluster", "root"]).where("blocks > 1").select("cluster", "root", F.lit(True).alias("large"))
     rest = rest.join(whole, ["cluster", "root"], "left").withColumn("own", F.when(F.col("large"), F.col("root")).otherwise(0)).drop("large")
     parts = cut_lineage(size(rest, ["cluster", "own", "far"]))
@@ -322,36 +325,40 @@ def exact_links(edges: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
             a, b, _ = _linked(rows.column("node").to_numpy(), _sets(rows), int((side == 0).sum()) if side.any() else 0, percent)
             yield record(schema, a, b)
 
-    rows = sides.join(rest.select("cluster", "block", "node"), ["cluster", "block"]).join(sets, "node")
     order = ["cluster", "one_block", "two_block"]
-    rows = rows.select(*order, "side", "node", "shingles").repartition(*order).sortWithinPartitions(*order, "side")
+    asked = sides.join(rest.select("cluster", "block", "node", "doc_id"), ["cluster", "block"]).select(*order, "side", "node", "doc_id")
+    rows = sets(asked).repartition(*order).dropDuplicates([*order, "side", "node"]).sortWithinPartitions(*order, "side")
     return cut_lineage(links.union(rows.mapInArrow(across, "a long, b long")).distinct())
 
 
-def read_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """node and shingles (the whole set as bytes) of the rows whose ids ``wanted`` (doc_id) holds, one row per node."""
-    ids = cut_lineage(wanted.select(F.col("doc_id").alias("_wanted")).distinct())
-    ids = F.broadcast(ids) if ids.count() <= FEW else ids
+def read_sets(placed: DataFrame, docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``placed`` (node, doc_id, others that are numbers) with shingles, the whole set as bytes, in place of doc_id."""
+    placed = cut_lineage(placed.withColumnRenamed("doc_id", "_wanted"))
+    rows = F.broadcast(placed) if placed.count() <= FEW // 4 else placed
     texts = id_and_text(docs, id_col, text_col)
-    texts = texts.join(ids, texts["doc_id"] == ids["_wanted"], "left_semi")
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+    texts = texts.join(rows, texts["doc_id"] == rows["_wanted"]).drop("doc_id", "_wanted")
+    names = [c for c in texts.columns if c != "text"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
-        rows, held = [], 0
+        shingler, text = Shingler(size), None
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                values = shingler(text)
-                rows.append((set_key(values), values.tobytes()))
-                held += len(values)
-                if held >= ELEMENTS:
-                    yield record(schema, *zip(*rows))
-                    rows, held = [], 0
-        if rows:
-            yield record(schema, *zip(*rows))
-
-    # A repeated id may bring other texts, whose sets nothing asks for.
-    return cut_lineage(texts.mapInArrow(read, "node long, shingles binary").dropDuplicates(["node"]))
+            at, held, weight = [], [], 0
+            nodes = batch.column("node").to_pylist()
+            for k, own in enumerate(batch.column("text").to_pylist()):
+                if own != text:  # the places of one text follow one another
+                    text, values = own, shingler(own)
+                    key = set_key(values)
+                if key == nodes[k]:  # a repeated id may bring other texts, whose sets nothing asks for
+                    at.append(k)
+                    held.append(values.tobytes())
+                    weight += len(values)
+                if at and (weight >= ELEMENTS or k + 1 == len(nodes)):
+                    part = batch.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(held, pa.binary())], names=[*names, "shingles"])
+                    at, held, weight = [], [], 0
+
+    kinds = dict(texts.dtypes)
+    return texts.mapInArrow(read, ", ".join(f"{c} {kinds[c]}" for c in names) + ", shingles binary")
 
 
 def component_ids(prints: DataFrame, links: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -285,8 +286,8 @@ def similar_links(docs: DataFrame, prints: DataFrame, size: int, percent: int, i
     nodes = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "parity")))
     nodes = cut_lineage(nodes.join(met.select("node").distinct(), "node", "left_semi"))
     edges = candidates(met.withColumn("home", F.lit(True)), nodes, percent)
-    wanted = nodes.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    return exact_links(edges, nodes, read_sets(docs, wanted, size, id_col, text_col), percent, **blocks)
+    sets = partial(read_sets, docs=docs, size=size, id_col=id_col, text_col=text_col)
+    return exact_links(edges, nodes, sets, percent, **blocks)
 
 
 def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **blocks) -> DataFrame:

@@ -108,3 +108,16 @@ def test_weights_cover_what_may_differ():
         deleted = np.where([k in gone for k in (sx >> 3).tolist()], np.maximum(cost, 1), cost)
         subsets, deletions = partition_join.weigh(sx, own, deleted, m, needed, partition_join.twos_seen(sx))
         assert {k for k in (subsets >> 3).tolist()} & index or {k for k in (deletions >> 3).tolist()} & gone
+
+
+def test_sets_are_read_where_they_go(spark):
+    """A set leaves once per place; another text of a repeated id does not; the whole set arrives."""
+    texts = {1: "a b c d e f g h", 2: " ".join(f"w{k}" for k in range(900))}
+    docs = spark.createDataFrame([*texts.items(), (2, "another text of this id by chance")], "doc_id long, text string")
+    values = {i: setlinks.Shingler(5)(t) for i, t in texts.items()}
+    key = {i: setlinks.set_key(v) for i, v in values.items()}
+    placed = spark.createDataFrame([(7, 0, key[1], 1), (7, 1, key[2], 2), (8, 1, key[2], 2)], "cluster long, block long, node long, doc_id long")
+    got = setlinks.read_sets(placed, docs, 5, "doc_id", "text")
+    assert got.columns == ["cluster", "block", "node", "shingles"]
+    want = [(7, 0, key[1], values[1].tobytes()), (7, 1, key[2], values[2].tobytes()), (8, 1, key[2], values[2].tobytes())]
+    assert sorted((r["cluster"], r["block"], r["node"], bytes(r["shingles"])) for r in got.collect()) == sorted(want)
