@@ -491,7 +491,8 @@ _STAGING_SQL = "st AS (SELECT * FROM art QUALIFY row_number() OVER (PARTITION BY
 
 
 def _old_events(spark, sf):
-    s = _staging(spark, sf).where(F.col("fatalities") > 25)
+    # The ids that the merge reads, so that both read the same shuffled articles.
+    s = _staging(spark, sf).where((F.col("fatalities") > 25) & F.col("ID").isNotNull())
     old = publication.events_of_staging(s, _stamp())
     return old.withColumns({"type": F.lit("Other"), "fatalities": F.lit(1), "hour": F.lit("00:01"), "latitude": F.lit(40.5), "longitude": F.lit(-8.5), "georef_class": F.lit("concelho")})
 

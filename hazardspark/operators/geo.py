@@ -47,7 +47,22 @@ def _apart(events: DataFrame, tag: str) -> Column:
     return F.concat(F.lit(tag), salt.cast("string"))
 
 
-def locate(events: DataFrame, centroids: DataFrame) -> DataFrame:
+def written_levels(centroids: DataFrame) -> list[DataFrame]:
+    """``LEVELS`` of the centroids, one row per name (``_name_*``, ``_p_*``) and written, so that Spark knows their true size."""
+    levels = []
+    for column, event_col, _ in LEVELS:
+        level = rewritten(_level(centroids, column, event_col), f"level-{event_col}")
+        levels.append(level.withColumnRenamed(f"_k_{event_col}", f"_name_{event_col}"))
+    return levels
+
+
+def _broadcast(level: DataFrame) -> bool:
+    """Whether Spark joins the level by broadcast."""
+    limit = level.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(level) <= limit
+
+
+def locate(events: DataFrame, centroids: DataFrame, key: str | None = None) -> DataFrame:
     """Fill missing coordinates from parish, else municipality, else district.
 
     Latitude and longitude always come from one centroid; ``georef_class``
@@ -55,21 +70,40 @@ def locate(events: DataFrame, centroids: DataFrame) -> DataFrame:
     resolves stay untouched. Each level is one row per name and joins once. The
     levels are written first: Spark then knows their true size and broadcasts
     the small ones instead of shuffling all events to a few names.
+
+    With ``key``, a column without nulls, events dealt by it stay where they
+    are: only the keys and names of events that need a point travel to a level
+    too large to broadcast, and its points back. Repeated keys each get the
+    point of their own name.
     """
+    return locate_by(events, written_levels(centroids), key)
+
+
+def locate_by(events: DataFrame, levels: list[DataFrame], key: str | None = None) -> DataFrame:
+    """``locate`` with the levels of ``written_levels``."""
     out = events
     needs = F.col("latitude").isNull() | F.col("longitude").isNull()
-    for column, event_col, _ in LEVELS:
-        k, name = f"_k_{event_col}", _key(F.col(event_col))
+    for (_, event_col, _), level in zip(LEVELS, levels):
+        k, given, name = f"_k_{event_col}", f"_name_{event_col}", _key(F.col(event_col))
+        all_empty = F.transform(F.sequence(F.lit(0), F.lit(_APART - 1)), lambda i: F.concat(F.lit("empty:"), i.cast("string")))
+        level = level.withColumn(k, F.explode(F.when(F.col(given) == "", all_empty).otherwise(F.array(F.concat(F.lit("name:"), F.col(given))))))
+        if key is not None and not _broadcast(level):
+            asked = events.where(needs & name.isNotNull()).select(F.col(key).alias("_id"), name.alias("_asked")).distinct()
+            asked = asked.select(
+                "_id", F.when(F.col("_asked") == "", _apart(asked, "empty:")).otherwise(F.concat(F.lit("name:"), F.col("_asked"))).alias(k)
+            )
+            found = asked.join(level, k).drop(k)
+            # The names are compared, not joined on: the key alone says where events are.
+            own = F.coalesce(name == F.col(given), F.lit(False)) & needs
+            out = out.join(found, (F.col(key) == F.col("_id")) & own, "left").drop("_id", given)
+            continue
         # Rows that need nothing, or have no name, get one of many keys that no name has: they never meet the
         # lookup and do not gather in one task. Those with an empty name are dealt out too, and so is its point.
-        key = (
+        apart = (
             F.when(needs & (name == ""), _apart(events, "empty:")).when(needs & name.isNotNull(), F.concat(F.lit("name:"), name))
             .otherwise(_apart(events, "none:"))
         )
-        all_empty = F.transform(F.sequence(F.lit(0), F.lit(_APART - 1)), lambda i: F.concat(F.lit("empty:"), i.cast("string")))
-        level = rewritten(_level(centroids, column, event_col), f"level-{event_col}")
-        level = level.withColumn(k, F.explode(F.when(F.col(k) == "", all_empty).otherwise(F.array(F.concat(F.lit("name:"), F.col(k))))))
-        out = out.withColumn(k, key).join(level, k, "left")
+        out = out.withColumn(k, apart).join(level.drop(given), k, "left")
     point = F.coalesce(*[F.col(f"_p_{e}") for _, e, _ in LEVELS])
     label = F.coalesce(
         *[F.when(F.col(f"_p_{e}").isNotNull(), F.lit(name)) for _, e, name in LEVELS]

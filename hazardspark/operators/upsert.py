@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardspark.operators.dedupe import grouped_as_they_are, keep_last
@@ -21,6 +21,22 @@ def greatest(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(row).select(*[F.col(f"`{c}`") if c == key else F.col(f"_row.`{c}`") for c in df.columns])
 
 
+def _side_by_side(t: DataFrame, s: DataFrame, key: str) -> DataFrame:
+    """The rows of ``t`` full outer join ``s`` (unique, without null keys), dealt by the key.
+
+    A full join's key comes from either side, so Spark no longer knows where a key is and shuffles whole rows for the
+    next step that needs it; the two sides one below the other stay where they are.
+    """
+    both = t.repartition(key).withColumn("_s", F.lit(None).cast(s.schema["_s"].dataType)).unionByName(
+        s.withColumn("_t", F.lit(None).cast(t.schema["_t"].dataType))
+    )
+    each = Window.partitionBy(key)
+    both = both.withColumns(
+        {"_s": F.first("_s", ignorenulls=True).over(each), "_known": F.max(F.col("_t").isNotNull()).over(each)}
+    )
+    return both.where(F.col("_t").isNotNull() | ~F.col("_known")).drop("_known")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -28,6 +44,7 @@ def upsert(
     update_cols: list[str] | None = None,
     order: list[str] | None = None,
     updated_at: Column | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Target after the source rows are merged in.
 
@@ -36,7 +53,8 @@ def upsert(
     rows of one key, the last wins; without it the greatest row does, so a key
     is inserted once either way. A source row without a key is left out.
     ``updated_at`` is stamped on changed rows. Both sides are unique on the
-    key, so the full join cannot skew.
+    key, so the full join cannot skew. ``dealt`` gives the same rows dealt by
+    the key, for steps that need them so next.
     """
     columns = target.columns
     update = set(update_cols if update_cols is not None else [c for c in columns if c != key])
@@ -48,7 +66,7 @@ def upsert(
         F.col(key),
     )
     t = target.select(F.struct(*columns).alias("_t"), F.col(key))
-    joined = t.join(s, key, "full_outer")
+    joined = _side_by_side(t, s, key) if dealt else t.join(s, key, "full_outer")
     in_source, in_target = F.col("_s").isNotNull(), F.col("_t").isNotNull()
 
     def merged(c: str) -> Column:

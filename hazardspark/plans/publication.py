@@ -49,13 +49,17 @@ def publish(
     stamp: Column,
     update_cols: list[str] | None = None,
 ) -> Published:
-    """Merge staging into events, locate them, merge the publishable ones into main."""
+    """Merge staging into events, locate them, merge the publishable ones into main.
+
+    Events stay dealt by their id up to the main table, which takes none without one.
+    """
     merged = upsert(
         events, events_of_staging(staging, stamp), "id",
-        update_cols=update_cols or STAGING_UPDATE_COLS, updated_at=stamp,
+        update_cols=update_cols or STAGING_UPDATE_COLS, updated_at=stamp, dealt=True,
     )
-    located = geo.with_geometry(geo.locate(merged, centroids))
+    levels = geo.written_levels(centroids)
+    named = geo.with_geometry(geo.locate_by(merged.where(F.col("id").isNotNull()), levels, "id"))
     return Published(
-        events=located,
-        main=upsert(main, located.where(filters.publishable()), "id", updated_at=stamp),
+        events=geo.with_geometry(geo.locate_by(merged, levels)),
+        main=upsert(main, named.where(filters.publishable()), "id", updated_at=stamp),
     )
